@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -510,6 +512,9 @@ def scale_minmax_guarded(spark: SparkSession, sf: str) -> DataFrame:
 
 # Arrow functions
 
+# They run on executors, which need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _doubled(batch: pa.Table) -> pa.Table:
     return batch.append_column("doubled", pc.multiply(batch["cents"], 2))
