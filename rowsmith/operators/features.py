@@ -22,9 +22,9 @@ def feature_bundle(
 ) -> DataFrame:
     """For every column: whole-table rolling sum, running total per key, and rank."""
     features = windows.rolling_list(columns, window_sizes, lags, "rolling_sum", names.ROLLING)
-    df = windows.rolling(df, features, order_by, rows_per_block=rows_per_block)
-    df = windows.cumulative_sum(df, columns, order_by, partition_by, rows_per_block)
-    return ranks.rank(df, columns, rank_method, rows_per_block)
+    rolled = windows.rolling(df, features, order_by, rows_per_block=rows_per_block)
+    summed = windows.cumulative_sum(rolled, columns, order_by, partition_by, rows_per_block, df)
+    return ranks.rank(summed, columns, rank_method, rows_per_block, df)
 
 
 def clean_roll_group(

@@ -47,14 +47,22 @@ def _ranked_values(df: DataFrame, column: str, method: str, rows_per_block: int
 
 
 def rank(
-    df: DataFrame, columns: Sequence[str], method: str, rows_per_block: int | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    method: str,
+    rows_per_block: int | None = None,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the ascending rank of each column; a null has no rank."""
+    """Add the ascending rank of each column; a null has no rank.
+
+    ``measured`` is a cheaper table with the same values, to rank instead of ``df``'s own columns.
+    """
     if method not in RANK_METHODS:
         raise ValueError(f"unknown rank method {method!r}, expected one of {', '.join(RANK_METHODS)}")
     checks.require_columns(df, columns)
     checks.require_new_names(df, [names.derived(names.RANK, c) for c in columns])
+    source = measured or df
     for column in columns:
-        ranked = _ranked_values(df, column, method, rows_per_block)
+        ranked = _ranked_values(source, column, method, rows_per_block)
         df = df.join(ranked, F.col(column) == F.col(_VALUE), "left").drop(_VALUE)
     return df

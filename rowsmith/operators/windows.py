@@ -133,10 +133,14 @@ def rolling(
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     rows_per_block: int | None = None,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
-    """Add rolling features, over the whole ordered table or within ``partition_by``."""
+    """Add rolling features, over the whole ordered table or within ``partition_by``.
+
+    ``measured`` is a cheaper table with the same keys and order, to count instead of ``df``.
+    """
     _check_rolling(df, features, partition_by, order_by, lead=not partition_by)
-    cuts = find_cuts(df, partition_by, order_by, rows_per_block)
+    cuts = find_cuts(measured or df, partition_by, order_by, rows_per_block)
     blocked = assign_blocks(df, cuts) if cuts else df
     return _roll(blocked, cuts, features, partition_by, order_by).drop(BLOCK, CUT)
 
@@ -180,12 +184,13 @@ def cumulative_sum(
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     rows_per_block: int | None = None,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the running total of each column."""
+    """Add the running total of each column; ``measured`` as for ``rolling``."""
     _check(df, columns, partition_by, order_by)
     outputs = {names.derived(names.CUMULATIVE, c): c for c in columns}
     checks.require_new_names(df, list(outputs))
-    cuts = find_cuts(df, partition_by, order_by, rows_per_block)
+    cuts = find_cuts(measured or df, partition_by, order_by, rows_per_block)
     blocked = assign_blocks(df, cuts) if cuts else df
     return _accumulate(blocked, cuts, outputs, partition_by, order_by).drop(BLOCK, CUT)
 
