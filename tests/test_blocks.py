@@ -34,7 +34,7 @@ def by_id(df):
 
 
 @settings(
-    max_examples=20, deadline=None, derandomize=True,
+    max_examples=12, deadline=None, derandomize=True,
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
 @given(
