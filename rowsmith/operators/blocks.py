@@ -36,6 +36,7 @@ BLOCK = "__block"
 CUT = "__cut"
 HOME = "__home"
 _POINTS = "__points"
+_HERE = "__here"
 _ROWS = "__rows"
 _PLACE = "__place"
 _TARGETS = "__targets"
@@ -99,24 +100,24 @@ def _match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(renamed, same, how).drop(*(f"__match_{k}" for k in keys))
 
 
-def _points_upto(points: Column, value: Column, longest: int) -> Column:
-    """How many of the sorted ``points`` are at or below ``value``; 0 where there are no points."""
-    strides = [1 << bit for bit in reversed(range(longest.bit_length()))]
-    return F.aggregate(
-        F.array(*(F.lit(s) for s in strides)),
-        F.lit(0),
-        lambda at, stride: F.when(F.get(points, at + stride - 1) <= value, at + stride).otherwise(at),
-    )
-
-
 def assign_blocks(df: DataFrame, cuts: Cuts) -> DataFrame:
-    """Add the block number, and whether the row's group is cut at all."""
+    """Add the block number, which is the number of the group's cut points at or below the row, and
+    whether the group is cut at all.
+
+    The binary search is unrolled, one projection per step: each step uses the last one's result
+    several times, so the steps stay separate and are compiled, where a lambda over the array would
+    be interpreted for every row and step.
+    """
     if cuts.keys:
-        pointed = _match_keys(df, F.broadcast(cuts.table), cuts.keys, "left")
+        found = _match_keys(df, F.broadcast(cuts.table), cuts.keys, "left")
     else:
-        pointed = df.withColumn(_POINTS, cuts.table.select(_POINTS).scalar())
-    block = _points_upto(F.col(_POINTS), F.struct(*cuts.order), cuts.longest)
-    return pointed.withColumns({BLOCK: block, CUT: F.col(_POINTS).isNotNull()}).drop(_POINTS)
+        found = df.withColumn(_POINTS, cuts.table.select(_POINTS).scalar())
+    found = found.withColumns({_HERE: F.struct(*cuts.order), BLOCK: F.lit(0)})
+    for bit in reversed(range(cuts.longest.bit_length())):
+        beyond = F.col(BLOCK) + (1 << bit)
+        above = F.get(_POINTS, beyond - 1) <= F.col(_HERE)
+        found = found.withColumn(BLOCK, F.when(above, beyond).otherwise(F.col(BLOCK)))
+    return found.withColumn(CUT, F.col(_POINTS).isNotNull()).drop(_POINTS, _HERE)
 
 
 def _block_sizes(blocked: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -88,3 +88,48 @@ def test_no_query_pairs_all_rows_or_runs_python_row_by_row(spark, name):
     text = plan(QUERIES[name](spark, SMALL))
     for operator in ("CartesianProduct", "NestedLoop", "BatchEvalPython"):
         assert operator not in text
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    """Thresholds under which the test tables count as skewed."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.files.maxPartitionBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def skewed_events(spark):
+    """A third of the events share one user."""
+    return events(spark, EVENTS).selectExpr(
+        "event_id", "if(event_id < 3400, 7, user_id) as user_id", "cents"
+    ).repartition(8)
+
+
+@pytest.mark.parametrize("how", ["inner", "outer"])
+def test_skewed_join_keys_are_split(spark, small_skew_limits, how):
+    right = table(spark, EVENTS, "customer").selectExpr("c_custkey as user_id", "c_name")
+    df = joins.join(skewed_events(spark), right, "user_id", how, rows_per_task=1_000)
+    assert df.count() == (10_000 if how == "inner" else 11_350)
+    assert "skew=true" in plan_after(df)
+
+
+def test_repeated_rank_values_are_split(spark, small_skew_limits):
+    df = ranks.rank(skewed_events(spark), ["user_id"], "dense")
+    assert "skew=true" in plan_after(df)
+
+
+def plan_after(df):
+    df.collect()
+    return plan(df)
