@@ -27,11 +27,15 @@ HEADLINE = (
     "rolling_mean_by_large_key",
     "rolling_mean_cumsum_by_large_key",
     "rolling_mean_global",
+    "rolling_mean_global_blocks",
     "rolling_sum_wide",
+    "rolling_sum_wide_blocks",
     "cumsum_by_key",
     "cumsum_by_large_key",
     "rank_average",
+    "rank_average_blocks",
     "feature_bundle",
+    "feature_bundle_blocks",
     "scale_minmax_many",
     "scale_zscore_many",
     "broadcast_agg_map",

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-ROWS_PER_BLOCK = 2_000_000
+ROWS_PER_BLOCK = 1_000_000
 MAX_BLOCKS = 65_536
 SAMPLED_ROWS_PER_BLOCK = 16
 

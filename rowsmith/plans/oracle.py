@@ -22,7 +22,7 @@ r AS (SELECT c_custkey AS user_id, c_name, c_acctbal FROM customer)"""
 def _joined(kind: str) -> str:
     key = {"LEFT": "l.user_id", "RIGHT": "r.user_id"}.get(kind, "COALESCE(l.user_id, r.user_id)")
     return f"""WITH {_JOIN_SIDES}
-        SELECT {key} AS user_id, event_id, cents, c_name, c_acctbal
+        SELECT event_id, {key} AS user_id, cents, c_name, c_acctbal
         FROM l {kind} JOIN r ON l.user_id = r.user_id"""
 
 
@@ -114,7 +114,7 @@ ORACLE: dict[str, str] = {
     "sink_parquet": _PLAIN_EVENTS,
     "sink_parquet_zstd": _PLAIN_EVENTS,
     "sink_n_parts": _PLAIN_EVENTS,
-    "sink_partitioned": f"WITH {_EVENTS} SELECT event_id, user_id, event_type, cents FROM ev",
+    "sink_partitioned": f"WITH {_EVENTS} SELECT event_id, user_id, cents, event_type FROM ev",
     "sink_keep_existing": _PLAIN_EVENTS,
     "label_threshold": """SELECT l_orderkey, l_linenumber, l_quantity,
         CASE WHEN l_quantity < 25 THEN 'Bajo' ELSE 'Alto' END AS "l_quantity_diferiencia"
@@ -146,7 +146,7 @@ ORACLE: dict[str, str] = {
     "join_right": _joined("RIGHT"),
     "join_full": _joined("FULL"),
     "join_full_keep_keys": f"""WITH {_JOIN_SIDES}
-        SELECT l.user_id AS user_id, event_id, cents, c_name, c_acctbal, r.user_id AS user_id_right
+        SELECT event_id, l.user_id AS user_id, cents, c_name, c_acctbal, r.user_id AS user_id_right
         FROM l FULL JOIN r ON l.user_id = r.user_id""",
     "join_full_large_keys": _joined("FULL"),
     "join_partitioned": """SELECT c_custkey, o_orderkey, o_totalprice, c_name
@@ -251,3 +251,9 @@ for _op in ("mean", "sum", "min", "max"):
     )
 for _op in ("mean", "sum", "max"):
     ORACLE[f"rolling_{_op}_cumsum_by_key"] = _rolling_cumulative(_op, "user_id")
+
+for _name in (
+    "rolling_mean_global", "rolling_sum_global", "rolling_mean_lead", "rolling_sum_wide",
+    "rank_average", "rank_dense", "rank_min", "feature_bundle",
+):
+    ORACLE[f"{_name}_blocks"] = ORACLE[_name]

@@ -34,9 +34,10 @@ QUERIES: dict[str, Query] = {}
 
 ORDER = ["ts", "event_id"]
 
-# Small enough for the test tables to be cut into several blocks; larger tables get larger blocks.
+# By default only groups beyond a million rows are cut into blocks. The queries named _blocks and
+# _large_key cut the test tables too; larger tables get larger blocks.
 ROWS_PER_BLOCK = 5_000
-ROWS_PER_KEY_BLOCK = 500
+ROWS_PER_KEY_BLOCK = 1_000
 
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
@@ -88,7 +89,8 @@ def src_csv(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def src_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
     path = _csv_copy(table(spark, sf, "part"), "part")
-    return readers.read_csv(spark, path).select("p_partkey", "p_name", "p_retailprice")
+    part = readers.read_csv(spark, path).select("p_partkey", "p_name", "p_retailprice")
+    return part.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
 
 
 @query
@@ -402,9 +404,9 @@ def _cumulative(op: str, keys: list[str] | None = None, rows: int | None = None)
     return run
 
 
-def _ranked(method: str) -> Query:
+def _ranked(method: str, rows: int | None = None) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return ranks.rank(kept(sparse_events(spark, sf)), ["cents"], method, ROWS_PER_BLOCK)
+        return ranks.rank(kept(sparse_events(spark, sf)), ["cents"], method, rows)
 
     return run
 
@@ -419,6 +421,7 @@ QUERIES["rolling_mean_cumsum_by_large_key"] = _cumulative(
 )
 for _method in ("average", "dense", "min"):
     QUERIES[f"rank_{_method}"] = _ranked(_method)
+    QUERIES[f"rank_{_method}_blocks"] = _ranked(_method, ROWS_PER_BLOCK)
 
 
 @query
@@ -427,18 +430,22 @@ def rolling_over_self(spark: SparkSession, sf: str) -> DataFrame:
     return windows.rolling_over_self(part, [Rolling("p_size", 3, 1)], ["p_partkey"])
 
 
-def _whole_table(window: int, lag: int, op: str) -> Query:
+def _whole_table(window: int, lag: int, op: str, rows: int | None = None) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         wanted = windows.rolling_list(["cents"], [window], [lag], op, names.ROLLING)
-        return kept(windows.rolling(events(spark, sf), wanted, ORDER, rows_per_block=ROWS_PER_BLOCK))
+        return kept(windows.rolling(events(spark, sf), wanted, ORDER, rows_per_block=rows))
 
     return run
 
 
-QUERIES["rolling_mean_global"] = _whole_table(2, 1, "rolling_mean")
-QUERIES["rolling_sum_global"] = _whole_table(3, 1, "rolling_sum")
-QUERIES["rolling_mean_lead"] = _whole_table(2, -1, "rolling_mean")
-QUERIES["rolling_sum_wide"] = _whole_table(1_000, 0, "rolling_sum")
+for _name, _args in {
+    "rolling_mean_global": (2, 1, "rolling_mean"),
+    "rolling_sum_global": (3, 1, "rolling_sum"),
+    "rolling_mean_lead": (2, -1, "rolling_mean"),
+    "rolling_sum_wide": (1_000, 0, "rolling_sum"),
+}.items():
+    QUERIES[_name] = _whole_table(*_args)
+    QUERIES[f"{_name}_blocks"] = _whole_table(*_args, ROWS_PER_BLOCK)
 
 
 @query
@@ -460,13 +467,19 @@ def lag_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return kept(windows.shift(events(spark, sf), "cents", 2, ORDER, ["user_id"]))
 
 
-@query
-def feature_bundle(spark: SparkSession, sf: str) -> DataFrame:
-    return kept(
-        features.feature_bundle(
-            events(spark, sf), ["cents"], [3], [1], "dense", ORDER, ["user_id"], ROWS_PER_BLOCK
+def _bundle(rows: int | None = None) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return kept(
+            features.feature_bundle(
+                events(spark, sf), ["cents"], [3], [1], "dense", ORDER, ["user_id"], rows
+            )
         )
-    )
+
+    return run
+
+
+QUERIES["feature_bundle"] = _bundle()
+QUERIES["feature_bundle_blocks"] = _bundle(ROWS_PER_BLOCK)
 
 
 # Scaling
