@@ -17,6 +17,7 @@ from rowsmith.functions.registry import rolling_aggregate
 from rowsmith.operators.blocks import (
     BLOCK,
     CUT,
+    ROWS_PER_BLOCK,
     Cuts,
     assign_blocks,
     carry_in,
@@ -76,6 +77,24 @@ def _check_rolling(
         checks.require_lag(f.lag, lead_allowed=lead)
 
 
+def _reach(features: Sequence[Rolling]) -> tuple[int, int]:
+    """How many rows before and after the current one the features use."""
+    back = max(f.window - 1 + f.lag for f in features)
+    ahead = max(-f.lag for f in features)
+    return max(back, 0), max(ahead, 0)
+
+
+def _cut_for(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    rows_per_block: int | None,
+    reach: tuple[int, int],
+) -> Cuts | None:
+    """Cut points for blocks at least as long as the reach, so that few blocks are in reach of one."""
+    return find_cuts(df, keys, order, max(rows_per_block or ROWS_PER_BLOCK, *reach))
+
+
 def _roll(
     df: DataFrame,
     cuts: Cuts | None,
@@ -93,9 +112,7 @@ def _roll(
             for f in features
         }
 
-    back = max(f.window - 1 + f.lag for f in features)
-    ahead = max(-f.lag for f in features)
-    return positional(df, cuts, keys, order, list(types), max(back, 0), max(ahead, 0), build)
+    return positional(df, cuts, keys, order, list(types), *_reach(features), build)
 
 
 def _accumulate(
@@ -140,7 +157,7 @@ def rolling(
     ``measured`` is a cheaper table with the same keys and order, to count instead of ``df``.
     """
     _check_rolling(df, features, partition_by, order_by, lead=not partition_by)
-    cuts = find_cuts(measured or df, partition_by, order_by, rows_per_block)
+    cuts = _cut_for(measured or df, partition_by, order_by, rows_per_block, _reach(features))
     blocked = assign_blocks(df, cuts) if cuts else df
     return _roll(blocked, cuts, features, partition_by, order_by).drop(BLOCK, CUT)
 
@@ -167,7 +184,7 @@ def rolling_cumulative(
     """Running total, within the key, of a shifted rolling feature."""
     checks.require_columns(df, partition_by)
     _check_rolling(df, features, partition_by, order_by, lead=False)
-    cuts = find_cuts(df, partition_by, order_by, rows_per_block)
+    cuts = _cut_for(df, partition_by, order_by, rows_per_block, _reach(features))
     inner = [
         Rolling(f.column, f.window, f.lag, f.op, f"__rolled_{i}") for i, f in enumerate(features)
     ]
@@ -209,9 +226,10 @@ def shift(
     checks.require_columns(df, [column, *partition_by, *order_by])
     output = name or names.derived(names.BY_OPERATION, column, "shift")
     checks.require_new_names(df, [output])
-    cuts = find_cuts(df, partition_by, order_by, rows_per_block)
+    reach = max(lag, 0), max(-lag, 0)
+    cuts = _cut_for(df, partition_by, order_by, rows_per_block, reach)
     blocked = assign_blocks(df, cuts) if cuts else df
     return positional(
-        blocked, cuts, partition_by, order_by, [column], max(lag, 0), max(-lag, 0),
+        blocked, cuts, partition_by, order_by, [column], *reach,
         lambda spec: {output: F.lag(column, lag).over(spec)},
     ).drop(BLOCK, CUT)

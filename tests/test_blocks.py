@@ -52,6 +52,17 @@ def test_rolling_equals_plain_window(skewed, window, lag, rows, op, keyed):
     assert by_id(cut) == by_id(plain)
 
 
+@pytest.mark.parametrize("keys", [[], ["key"]])
+@pytest.mark.parametrize("window, lag", [(40, 0), (2, 35), (3, -50)])
+def test_windows_longer_than_several_blocks(skewed, monkeypatch, keys, window, lag):
+    lag = abs(lag) if keys else lag
+    feature = [Rolling("x", window, lag, "rolling_sum", "r")]
+    plain = by_id(windows.rolling(skewed, feature, ["day", "id"], keys))
+    monkeypatch.setattr(windows, "_cut_for", lambda df, k, o, rows, reach: blocks.find_cuts(df, k, o, rows))
+    cut = windows.rolling(skewed, feature, ["day", "id"], keys, 6)
+    assert by_id(cut) == plain
+
+
 @pytest.mark.parametrize("keys", [[], ["key"]])
 @pytest.mark.parametrize("rows", [1, 30, 150])
 def test_running_totals_equal_plain_window(skewed, keys, rows):
