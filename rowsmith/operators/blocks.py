@@ -73,7 +73,7 @@ def find_cuts(
         sample = _match_keys(sample, F.broadcast(large), keys, "inner")
     else:
         sample = sample.withColumn(_ROWS, F.lit(total))
-    found = F.array_sort(F.collect_list(F.struct(*order)))
+    found = F.sort_array(F.collect_list(F.struct(*order)))
     blocks = F.ceil(F.first(_ROWS) / limit)
     cuts = sample.groupBy(*keys).agg(found.alias("found"), blocks.alias("blocks"))
     cuts = cuts.select(
@@ -89,7 +89,7 @@ def find_cuts(
     if not rows:
         return None
     table = df.sparkSession.createDataFrame(rows, cuts.schema)
-    table = table.withColumn(_POINTS, F.array_sort(_POINTS))
+    table = table.withColumn(_POINTS, F.sort_array(_POINTS))
     return Cuts(table, tuple(keys), tuple(order), max(len(r[_POINTS]) for r in rows))
 
 

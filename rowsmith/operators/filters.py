@@ -28,7 +28,7 @@ def even_rows(df: DataFrame, column: str) -> DataFrame:
 def even_values(values: Column, ordered: bool = False) -> Column:
     """The even members of a list, in place or ascending; a list without any stays, empty."""
     kept = F.filter(values, lambda v: v % 2 == 0)
-    return F.array_sort(kept) if ordered else kept
+    return F.sort_array(kept) if ordered else kept
 
 
 def latest_lists(df: DataFrame, name: str, section: str, values: str) -> DataFrame:

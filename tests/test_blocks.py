@@ -129,3 +129,44 @@ def test_wide_windows_use_running_totals_with_equal_results(spark, monkeypatch,
         wide = windows.rolling(df, feature, ["id"], rows_per_block=block)
         assert wide.schema["r"].dataType == narrow.schema["r"].dataType
         assert by_id(wide) == by_id(narrow)
+
+
+@pytest.mark.parametrize(
+    "order", ["timestamp", "timestamp_ntz", "date", "double", "decimal(12,3)", "string", "binary", "tinyint"]
+)
+def test_order_columns_of_any_type(spark, order):
+    """The leading order column has ties, nulls and, as a double, NaN and both zeros."""
+    seconds = "1730000000 + (id * 37) % 11 * 3600"
+    leading = {
+        "timestamp": f"timestamp_seconds({seconds})",
+        "timestamp_ntz": f"timestamp_seconds({seconds})",
+        "date": "date_add(date'2024-10-20', int(id * 37 % 11))",
+        "double": "case id % 5 when 0 then double('NaN') when 1 then -0.0D when 2 then 0.0D else id % 7 end",
+    }.get(order, "id * 37 % 11")
+    if order == "binary":
+        leading = "string(id * 37 % 11)"
+    df = spark.range(200).selectExpr(
+        "int(id) as id",
+        f"cast(if(id % 13 = 0, null, {leading}) as {order}) as o",
+        "cast(id % 2 as decimal(5,1)) as key",
+        "int(id % 9) as x",
+    )
+    feature = [Rolling("x", 5, 2, "rolling_sum", "r")]
+    for keys in ([], ["key"]):
+        assert blocks.find_cuts(df, keys, ["o", "id"], 20) is not None
+        cut = windows.rolling(df, feature, ["o", "id"], keys, 20).drop("o")
+        assert by_id(cut) == by_id(windows.rolling(df, feature, ["o", "id"], keys).drop("o"))
+
+
+def test_blocks_do_not_depend_on_the_session_time_zone(spark):
+    df = spark.range(300).selectExpr(
+        "int(id) as id", "timestamp_seconds(1730600000 + id * 60) as o", "int(id % 9) as x"
+    )
+    feature = [Rolling("x", 5, 2, "rolling_sum", "r")]
+    plain = by_id(windows.rolling(df, feature, ["o"]).drop("o"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert by_id(windows.rolling(df, feature, ["o"], (), 20).drop("o")) == plain
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

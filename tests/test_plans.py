@@ -1,6 +1,7 @@
 """The shape of physical plans: what is read, what is shuffled, what is broadcast."""
 
 import contextlib
+import glob
 import io
 import re
 
@@ -9,6 +10,7 @@ import pytest
 from rowsmith.operators import joins, ranks, scaling, windows
 from rowsmith.operators.windows import Rolling
 from rowsmith.plans.queries import QUERIES, events, table
+from rowsmith.sources import writers
 
 SMALL = "/root/testdata/sf0.001"
 EVENTS = "/root/testdata/sf0.01"
@@ -133,3 +135,10 @@ def test_repeated_rank_values_are_split(spark, small_skew_limits):
 def plan_after(df):
     df.collect()
     return plan(df)
+
+
+def test_frequent_value_is_written_by_several_tasks(spark, small_skew_limits, tmp_path):
+    df = spark.range(0, 10_000, 1, 8).selectExpr("id", "if(id % 10 < 7, 'hot', 'cold') as kind")
+    path = writers.write_partitioned(df, f"{tmp_path}/k.parquet", ["kind"])
+    assert len(glob.glob(f"{path}/kind=hot/*.parquet")) > 1
+    assert spark.read.parquet(path).count() == 10_000
