@@ -1,8 +1,9 @@
 """Time the headline queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the number of cores. The first query warms the JVM
-up. Then every query runs once more than ``BENCH_RUNS`` times; the median of all but the first counts. A run builds the query, including the counting
-jobs some operators start, and computes all of its rows and columns without collecting them.
+up. Then every query runs once more than ``BENCH_RUNS`` times; the median of all but the first
+counts. A run builds the query, including the counting jobs some operators start, and computes all of
+its rows and columns without collecting them.
 """
 
 from __future__ import annotations

@@ -2,23 +2,48 @@
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from rowsmith.functions import checks
 
 Batches = Iterator[pa.RecordBatch]
+TableFunction = Callable[[pa.Table], pa.Table]
+
+# These functions run on executors, which need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Partial rows a task holds before it combines them.
 COMBINE_ROWS = 65_536
 
 
-def map_batches(
-    df: DataFrame, fn: Callable[[pa.Table], pa.Table], schema: StructType | str
-) -> DataFrame:
+def _joined(tables: Sequence[pa.Table]) -> pa.Table:
+    return pa.concat_tables(tables, promote_options="permissive")
+
+
+def _same_as_last(rows: pa.Table, columns: Sequence[str]) -> pa.ChunkedArray:
+    """Which rows agree with the last one, null with null and NaN with NaN."""
+    same = pa.chunked_array([pa.repeat(True, rows.num_rows)])
+    for c in columns:
+        values, last = rows[c], rows[c][-1]
+        if not last.is_valid:
+            equal = pc.is_null(values)
+        elif pa.types.is_floating(values.type) and math.isnan(last.as_py()):
+            equal = pc.fill_null(pc.is_nan(values), False)
+        else:
+            equal = pc.fill_null(pc.equal(values, last), False)
+        same = pc.and_(same, equal)
+    return same
+
+
+def map_batches(df: DataFrame, fn: TableFunction, schema: StructType | str) -> DataFrame:
     """Apply a row-wise function to Arrow batches, without a shuffle.
 
     A batch is an arbitrary piece of the table, so ``fn`` must not depend on where it is cut. The
@@ -54,32 +79,52 @@ def map_groups(
 def reduce_groups(
     df: DataFrame,
     by: Sequence[str],
-    partial: Callable[[pa.Table], pa.Table],
-    combine: Callable[[pa.Table], pa.Table],
+    partial: TableFunction,
+    combine: TableFunction,
     partial_schema: StructType | str,
-    finish: Callable[[Batches], Batches],
+    finish: TableFunction,
     schema: StructType | str,
 ) -> DataFrame:
     """Apply a function to each group in steps, so that no task reads a large group whole.
 
-    Before the shuffle, ``partial`` reduces a batch, which may hold several keys, to partial rows,
-    and ``combine`` reduces partial rows to fewer, so a key sends about one row per input task.
-    ``finish`` turns the partial rows of one key into its result.
+    All three functions take a table that may hold many keys. Before the shuffle, ``partial``
+    reduces a batch to partial rows, which keep the ``by`` columns, and ``combine`` reduces partial
+    rows to one per key, so a key sends about one row per input task. After it ``combine`` runs
+    again, on the partial rows in key order, and ``finish`` turns one row per key into the result.
     """
     checks.require_columns(df, by)
+    keys = list(by)
 
-    def run(batches: Batches) -> Batches:
+    def reduce_batches(batches: Batches) -> Batches:
         held: list[pa.Table] = []
         for batch in batches:
             held.append(partial(pa.Table.from_batches([batch])))
             if sum(t.num_rows for t in held) > COMBINE_ROWS:
-                merged = combine(pa.concat_tables(held))
+                merged = combine(_joined(held))
                 held = []
                 if merged.num_rows > COMBINE_ROWS // 2:
                     yield from merged.to_batches()
                 else:
                     held = [merged]
         if held:
-            yield from combine(pa.concat_tables(held)).to_batches()
+            yield from combine(_joined(held)).to_batches()
 
-    return map_groups(df.mapInArrow(run, partial_schema), by, finish, schema)
+    def finish_batches(batches: Batches) -> Batches:
+        held: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else _joined([held, rows])
+            if not rows.num_rows:
+                continue
+            # The last key may go on in the next batch.
+            last = pc.sum(_same_as_last(rows, keys)).as_py()
+            done, held = rows.slice(0, rows.num_rows - last), rows.slice(rows.num_rows - last)
+            if done.num_rows:
+                yield from finish(combine(done)).to_batches()
+            if held.num_rows > COMBINE_ROWS:
+                held = combine(held)
+        if held is not None and held.num_rows:
+            yield from finish(combine(held)).to_batches()
+
+    reduced = df.mapInArrow(reduce_batches, partial_schema)
+    return reduced.repartition(*by).sortWithinPartitions(*by).mapInArrow(finish_batches, schema)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -547,14 +547,9 @@ def _combined_sums(rows: pa.Table) -> pa.Table:
     return _sum_by_user(rows, "total", "n", "sum")
 
 
-def _mean_of_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    user, total, n = None, 0, 0
-    for batch in batches:
-        user = batch["user_id"][0].as_py()
-        total += pc.sum(batch["total"]).as_py()
-        n += pc.sum(batch["n"]).as_py()
-    means = pa.array([total / n if n else None], pa.float64())
-    yield pa.RecordBatch.from_arrays([pa.array([user], pa.int64()), means], ["user_id", "mean_cents"])
+def _mean_of_sums(rows: pa.Table) -> pa.Table:
+    means = pc.divide(pc.cast(rows["total"], pa.float64()), pc.cast(rows["n"], pa.float64()))
+    return pa.table([rows["user_id"], means], names=["user_id", "mean_cents"])
 
 
 @query

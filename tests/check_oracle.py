@@ -1,4 +1,4 @@
-"""Compare every registered query with its SQL on the given tables: ``python tests/check_oracle.py [dir] [name ...]``."""
+"""Compare registered queries with their SQL: ``python tests/check_oracle.py [dir] [name ...]``."""
 
 import sys
 import time

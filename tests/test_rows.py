@@ -182,18 +182,36 @@ def test_map_groups(users):
     assert {tuple(r) for r in found.collect()} == {(1, 50), (2, 30)}
 
 
-def test_reduce_groups(spark, monkeypatch):
-    df = spark.range(20_000).selectExpr("id % 3 as user_id", "id as age").repartition(4)
+@pytest.mark.parametrize("key", ["id % 3", "string(id % 3)", "if(id % 3 = 0, null, id % 3)"])
+@pytest.mark.parametrize("held, batch", [(1, 7), (65_536, 10_000)])
+def test_reduce_groups(spark, monkeypatch, key, held, batch):
+    """Keys go on over many batches, before and after the shuffle."""
+    df = spark.range(3_000).selectExpr(f"{key} as key", "id % 2 as side", "id as age").repartition(4)
 
     def top(t: pa.Table) -> pa.Table:
-        best = t.group_by("user_id").aggregate([("age", "max")])
-        return pa.table({"user_id": best["user_id"], "age": best["age_max"]})
-
-    schema = "user_id bigint, age bigint"
-    for held in (1, 65_536):
-        monkeypatch.setattr(arrow_ops, "COMBINE_ROWS", held)
-        found = arrow_ops.reduce_groups(df, ["user_id"], top, top, schema, _largest(), schema)
-        assert {tuple(r) for r in found.collect()} == {(0, 19_998), (1, 19_999), (2, 19_997)}
+        best = t.group_by(["key", "side"]).aggregate([("age", "max")])
+        return pa.table({"key": best["key"], "side": best["side"], "age": best["age_max"]})
+
+    def negated(t: pa.Table) -> pa.Table:
+        return t.set_column(2, "age", pc.negate(t["age"]))
+
+    schema = df.schema
+    monkeypatch.setattr(arrow_ops, "COMBINE_ROWS", held)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        found = arrow_ops.reduce_groups(df, ["key", "side"], top, top, schema, negated, schema)
+        expected = df.groupBy("key", "side").agg((-F.max("age")).alias("age"))
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_rows_equal_to_the_last():
+    t = pa.table({"a": [1.0, math.nan, math.nan], "b": ["x", None, None]})
+    assert arrow_ops._same_as_last(t, ["a", "b"]).to_pylist() == [False, True, True]
+    assert arrow_ops._same_as_last(t.slice(0, 2), ["b"]).to_pylist() == [False, True]
+    assert arrow_ops._same_as_last(pa.table({"a": [1, None, 1]}), ["a"]).to_pylist() == [True, False, True]
 
 
 def test_checks(users):

@@ -124,8 +124,10 @@ def test_empty_table(users):
 def test_all_null_column(spark, in_order):
     df = spark.createDataFrame([(i, None) for i in range(4)], "seq int, x double")
     for rows in BLOCK_SIZES:
-        assert in_order(windows.rolling(df, [Rolling("x", 1)], ["seq"], (), rows), "rolling_mean_x") == [N] * 4
-        assert in_order(windows.cumulative_sum(df, ["x"], ["seq"], (), rows), "Acumulacion_x") == [N] * 4
+        rolled = windows.rolling(df, [Rolling("x", 1)], ["seq"], (), rows)
+        assert in_order(rolled, "rolling_mean_x") == [N] * 4
+        summed = windows.cumulative_sum(df, ["x"], ["seq"], (), rows)
+        assert in_order(summed, "Acumulacion_x") == [N] * 4
         assert in_order(ranks.rank(df, ["x"], "average", rows), "Rank_x") == [N] * 4
 
 
