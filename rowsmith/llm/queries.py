@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import langid, quality_rules
+from rowsmith.llm import bpe, langid, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +23,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    found = bpe.decode(bpe.encode(table(spark, sf, "documents"), path), path)
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf, "documents"))
