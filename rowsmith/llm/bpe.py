@@ -37,10 +37,11 @@ _GEAR = (mix(np.arange(256, dtype=np.uint64) + np.uint64(7)) >> np.uint64(32)).a
 class Coder:
     """Ids of texts under a byte-level BPE file of the tokenizers library, and texts of ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, extra: tuple[str, ...] = ()):
+        """``extra``: further special tokens, which get the ids after the file's."""
         import tiktoken
 
-        self._path = path
+        self._made = path, extra
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
         split, model = made["pre_tokenizer"], made["model"]
@@ -49,13 +50,15 @@ class Coder:
         byte_of = {c: b for b, c in enumerate(self._alphabet())}
         special = {x["content"]: x["id"] for x in made["added_tokens"]}
         ranks = {bytes(byte_of[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+        n = max([*ranks.values(), *special.values()]) + 1
+        special |= {x: n + i for i, x in enumerate(extra)}
         # Fixed value: the splitting pattern of byte-level BPE.
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.special = list(special)
         self._coding = tiktoken.Encoding(
             "bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special
         )
-        self.pieces = [b""] * (max([*ranks.values(), *special.values()]) + 1)
+        self.pieces = [b""] * (n + len(extra))
         for piece, i in ranks.items():
             self.pieces[i] = piece
         for text, i in special.items():
@@ -63,7 +66,7 @@ class Coder:
         self.lengths = np.array([len(p) for p in self.pieces])
 
     def __reduce__(self):
-        return Coder, (self._path,)
+        return Coder, self._made
 
     @staticmethod
     def _alphabet() -> list[str]:

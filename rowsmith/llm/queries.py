@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import bpe, langid, quality_rules
+from rowsmith.llm import bpe, chat, classifier, langid, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,6 +40,42 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf, "documents"))
 
 
+@query
+def op7_chat(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = table(spark, sf, "conversations").select(
+        F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text"
+    )
+    says = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame(
+        [(-7, 0, "user", says), (-7, 1, "assistant", says)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    return chat.read_back(chat.format_conversations(rows.unionByName(more), path), path)
+
+
+ORACLE["op7_chat"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  sum(length('<|role|><|text|><|end|>')
+    + length(replace(replace(role, '\', '\\'), '<|', '<\|'))
+    + length(replace(replace(text, '\', '\\'), '<|', '<\|')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return classifier.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(

@@ -69,11 +69,15 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of all texts: first byte, end and text number of each."""
+    """Words ``[^\\x20\\x09-\\x0D]+`` of all texts: first byte, end and text number of each.
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    ``table`` replaces each byte first.
+    """
+
+    def __init__(self, texts: pa.Array, lower: bool = False, table: np.ndarray | None = None):
         data, self.offsets = raw(texts)
-        self.data = LOWER[data] if lower else data
+        table = LOWER if lower else table
+        self.data = data if table is None else table[data]
         self.solid = ~IS_SPACE[self.data]
         n = len(data)
         begins = np.zeros(n + 1, bool)
