@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import bpe, chat, classifier, langid, quality_rules
+from rowsmith.llm import bpe, chat, classifier, html, langid, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,6 +40,11 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf, "documents"))
 
 
+@query
+def op6_html(spark: SparkSession, sf: str) -> DataFrame:
+    return html.extract(table(spark, sf, "pages")).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 @query
 def op7_chat(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
