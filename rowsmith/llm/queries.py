@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import bpe, chat, classifier, html, langid, quality_rules
+from rowsmith.llm import bpe, chat, classifier, html, jaccard, langid, quality_rules
+from rowsmith.llm.text import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -20,7 +21,7 @@ def query(fn):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return small_batches(spark.read.parquet(f"{sf}/{name}.parquet"))
 
 
 @query
@@ -35,6 +36,11 @@ def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op3_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.join_documents(table(spark, sf, "documents"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf, "documents"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 # A task handles so many bytes of text at once; a single longer text is one slice of its own.
 SLICE_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 
 # The white space between words, x20 and x09 to x0D.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -43,6 +44,14 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Let Arrow batches of this session hold at most BATCH_BYTES, unless it has a bound of its own."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(bound, None) is None:
+        df.sparkSession.conf.set(bound, str(BATCH_BYTES))
+    return df
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str | int) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows with at most SLICE_BYTES of text, one row at least."""
     for batch in batches:
