@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import bpe, chat, classifier, html, jaccard, langid, quality_rules
+from rowsmith.llm import bpe, chat, classifier, html, jaccard, langid, quality_rules, suffix_dedup
 from rowsmith.llm.text import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,18 @@ def op8_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return classifier.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_dedup.dedup(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(
