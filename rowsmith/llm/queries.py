@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import bpe, chat, classifier, html, jaccard, langid, quality_rules, suffix_dedup
+from rowsmith.llm import bpe, chat, classifier, decontam, html, jaccard, langid, quality_rules, suffix_dedup
 from rowsmith.llm.text import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,12 @@ def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.drop("row_key")
+
+
 @query
 def op3_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.join_documents(table(spark, sf, "documents"))

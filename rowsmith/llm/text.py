@@ -84,9 +84,13 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array, lower: bool = False, table: np.ndarray | None = None):
-        data, self.offsets = raw(texts)
+        data, offsets = raw(texts)
         table = LOWER if lower else table
-        self.data = data if table is None else table[data]
+        self.take(data if table is None else table[data], offsets)
+
+    def take(self, data: np.ndarray, offsets: np.ndarray) -> None:
+        """Find the words of bytes that hold texts one after the other."""
+        self.data, self.offsets = data, offsets
         self.solid = ~IS_SPACE[self.data]
         n = len(data)
         begins = np.zeros(n + 1, bool)
