@@ -13,7 +13,8 @@ other nodes, on hosts with at least MIN_PAGES pages that show them.
 
 Counts are keyed by host, path and feature, so that a host with a large share of all pages is spread
 over its features and combined before the shuffle. What a host's tree holds after that is its
-templates' paths, not its pages. Pages meet their host's low nodes in a join salted SALTS times.
+templates' paths, not its pages. Pages meet their host's low nodes in a plain join, in which adaptive
+execution splits the pages of a large host.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ from rowsmith.llm.text import slices
 MIN_PAGES = 5
 LOW = 0.3
 DAMPING = 0.9
-SALTS = 32
 
 # HTML elements by kind, and words in class, id and role that name a part of a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -323,11 +323,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         F.col(url).alias("url"),
         F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"),
         at.alias("host"),
-        F.pmod(F.xxhash64(page_id, html), F.lit(SALTS)).alias("salt"),
     )
-    low = style_trees(pages, url, html).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    low = low.select("host", F.col("salt").cast("bigint").alias("salt"), "low").filter(F.size("low") > 0)
-    joined = rows.join(low, ["host", "salt"], "left").select("id", "url", "html", "low")
+    low = style_trees(pages, url, html).filter(F.size("low") > 0)
+    joined = rows.join(low, "host", "left").select("id", "url", "html", "low")
 
     def texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
