@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import bpe, chat, classifier, decontam, html, jaccard, langid, quality_rules, suffix_dedup
+from rowsmith.llm import bpe, chat, classifier, decontam, html, jaccard, langid, lm, quality_rules, suffix_dedup
 from rowsmith.llm.text import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,11 @@ def op3_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.join_documents(table(spark, sf, "documents"))
 
 
+@query
+def op4_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf, "documents"))
