@@ -32,10 +32,10 @@ from rowsmith.session import scratch_dir
 WIDTH = 5
 SKETCH = 1 << 18
 SKETCH_ROWS = 64
-# Pivots of a column in the first steps, on average at most twice as many, and how many of them a
+# Pivots of a column in the first step, on average at most twice as many, and how many of them a
 # member is compared with at most.
 PIVOTS = 8
-COMPARED = 6
+COMPARED = 3
 # Bits of the filter that keeps the sets of classes without partners from being moved.
 FILTER_BITS = 1 << 26
 
@@ -318,45 +318,51 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     cells = cells.repartition("h").sortWithinPartitions("h").mapInArrow(_shared_columns, "h bigint, c bigint, n int")
     cells = written(cells, "cells")
 
-    slots = cells.select("c").distinct().select(
-        F.shiftrightunsigned("c", 64 - (FILTER_BITS.bit_length() - 1)).alias("slot")
-    )
-    words = (
-        slots.selectExpr("shiftright(slot, 6) AS word", "shiftleft(1L, cast(slot % 64 AS int)) AS one")
-        .groupBy("word")
-        .agg(F.bit_or("one").alias("bits"))
-        .toArrow()
-    )
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
-    wanted = spark.sparkContext.broadcast(bits)
     high = np.uint64(64 - (FILTER_BITS.bit_length() - 1))
 
-    def sets_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in slices(batches, 0):
-            value, row, rows = shingle_sets(batch.column(0))
-            value, row = distinct(value, row, value)
-            n, print_ = classes(value, row, rows)
-            at = (print_.view(np.uint64) >> high).astype(np.int64)
-            hit = ((wanted.value[at >> 6] >> (at & 63)) & 1).astype(bool) & (n > 0)
-            ends = np.searchsorted(row, np.arange(rows + 1))
-            c_out, s_out = [], []
-            for i in np.flatnonzero(hit).tolist():
-                c = int(print_[i])
-                if c not in seen:
-                    seen.add(c)
-                    c_out.append(c)
-                    s_out.append(value[ends[i] : ends[i + 1]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(c_out, pa.int64()), pa.array(s_out, pa.binary())], names=["c", "s"])
-
-    sets = rows.select("text").mapInArrow(sets_of, "c bigint, s binary")
-    sets = written(sets.dropDuplicates(["c"]), "members")
+    def sets_of(wanted):
+        """Sets of the classes in a bit set of fingerprints; a task gives each class once."""
+
+        def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()
+            for batch in slices(batches, 0):
+                value, row, rows = shingle_sets(batch.column(0))
+                value, row = distinct(value, row, value)
+                n, print_ = classes(value, row, rows)
+                at = (print_.view(np.uint64) >> high).astype(np.int64)
+                hit = ((wanted.value[at >> 6] >> (at & 63)) & 1).astype(bool) & (n > 0)
+                ends = np.searchsorted(row, np.arange(rows + 1))
+                c_out, s_out = [], []
+                for i in np.flatnonzero(hit).tolist():
+                    c = int(print_[i])
+                    if c not in seen:
+                        seen.add(c)
+                        c_out.append(c)
+                        s_out.append(value[ends[i] : ends[i + 1]].tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c_out, pa.int64()), pa.array(s_out, pa.binary())], names=["c", "s"]
+                )
+
+        return sets
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (x, y) whose sets are similar."""
+        """Those of the pairs (x, y) whose sets are similar. Only the sets of their classes are moved."""
+        pairs = written(pairs.select("x", "y"), "pairs")
+        slots = pairs.select(F.explode(F.array("x", "y")).alias("c")).distinct()
+        slots = slots.select(F.shiftrightunsigned("c", 64 - (FILTER_BITS.bit_length() - 1)).alias("slot"))
+        words = (
+            slots.selectExpr("shiftright(slot, 6) AS word", "shiftleft(1L, cast(slot % 64 AS int)) AS one")
+            .groupBy("word")
+            .agg(F.bit_or("one").alias("bits"))
+            .toArrow()
+        )
+        bits = np.zeros(FILTER_BITS // 64, np.int64)
+        bits[words["word"].to_numpy()] = words["bits"].to_numpy()
+        sets = rows.select("text").mapInArrow(sets_of(spark.sparkContext.broadcast(bits)), "c bigint, s binary")
+        sets = written(sets.dropDuplicates(["c"]), "members")
         x, y = (sets.select(F.col("c").alias(v), F.col("s").alias(f"s{v}")) for v in "xy")
-        return pairs.select("x", "y").join(x, "x").join(y, "y").select("x", "y", "sx", "sy").mapInArrow(_verify, "a bigint, b bigint")
+        both = pairs.join(x, "x").join(y, "y").select("x", "y", "sx", "sy")
+        return both.mapInArrow(_verify, "a bigint, b bigint")
 
     def products(labels: DataFrame | None, seed: int | None) -> DataFrame:
         cell = cells.select("h", "c", F.col("n").cast("bigint").alias("n"))
@@ -370,18 +376,12 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         )
         return blocks.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"), F.sum("o").alias("o"))
 
-    links, labels = None, None
-    for seed in (1, 2):
-        pairs = products(labels, seed)
-        by_member = Window.partitionBy("x").orderBy(F.desc("o"), "y")
-        best = pairs.withColumn("place", F.row_number().over(by_member)).filter(F.col("place") <= COMPARED)
-        found = linked(best)
-        links = written(found if links is None else links.union(found), "similar")
-        labels = components(links)
-    pairs = products(labels, None)
     rest = F.greatest(F.ceil(F.col("nx") * 8 / 10), F.ceil(F.col("ny") * 8 / 10)) - 1
-    pairs = pairs.filter((F.col("o") + rest) * 180 >= (F.col("nx") + F.col("ny")) * 80)
-    links = written(links.union(linked(pairs)), "similar")
+    enough = (F.col("o") + rest) * 180 >= (F.col("nx") + F.col("ny")) * 80
+    by_member = Window.partitionBy("x").orderBy(F.desc("o"), "y")
+    best = products(None, 1).filter(enough).withColumn("place", F.row_number().over(by_member))
+    links = written(linked(best.filter(F.col("place") <= COMPARED)), "similar")
+    links = links.union(linked(products(components(links), None).filter(enough)))
     labels = components(links)
 
     least = plain.filter("n > 0").groupBy("c").agg(F.min("id").alias("least"))
