@@ -33,11 +33,12 @@ from rowsmith.session import scratch_dir
 LENGTH = 100
 K = 32
 BATCHES = 4
-HOT = 20_000
+HOT = 100_000
 SALTS = 64
 FILTER_BITS = 1 << 26
 # Samples that a task settles among each other at once.
 SAMPLES_AT_ONCE = 1 << 20
+SUSPECTS_AT_ONCE = 1 << 16
 
 _BASE = 0x9E3779B97F4A7C55
 _BYTES = mix(np.arange(256, dtype=np.uint64) + np.uint64(99))
@@ -100,7 +101,7 @@ def regions(data: np.ndarray, offsets: np.ndarray):
     shape = (count * 256 + (place[at] - first)).astype(np.uint64)
     with np.errstate(over="ignore"):
         region = mix(window[first] + mix(window[last] + shape))
-    short = (owner[place[at]] >> np.uint64(24)).view(np.int64)
+    short = (mix(owner[place[at]]) >> np.uint64(24)).view(np.int64)  # owners have small hashes: spread them
     return short, region.view(np.int64), row[first], first - offsets[row[first]], count
 
 
@@ -358,27 +359,47 @@ def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     hot = spark.sparkContext.broadcast(bit_set(shared.filter(F.col("r") > HOT)))
 
     def suspects(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Regions of shared owners with their bytes, each once for a slice of texts."""
+        """Regions of shared owners with their bytes, each once for a run of texts."""
+        held, size = [], 0
+
+        def settle():
+            h, r, doc, pos = (np.concatenate(x) for x in list(zip(*held, strict=True))[:4])
+            bodies = np.concatenate([x[4] for x in held])
+            order, first = _firsts(r, doc, pos)
+            at = order[first]
+            at = at[np.r_[True, r[at][1:] != r[at][:-1]]]
+            salt = np.where(_in(hot.value, h[at]), r[at] % SALTS + 1, 0)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(h[at] ^ (salt << 40)),
+                    pa.array(salt > 0),
+                    pa.array(doc[at]),
+                    pa.array(pos[at]),
+                    pa.array(bodies[at].tolist(), pa.binary()),
+                ],
+                names=["h", "split", "doc", "pos", "body"],
+            )
+
         for batch in slices(batches, 1):
             data, offsets = raw(batch.column(1))
             h, r, row, first, count = regions(data, offsets)
             at = np.flatnonzero(_in(marks.value, h)) if len(h) else np.zeros(0, np.int64)
             if not len(at):
                 continue
-            doc = batch.column(0).to_numpy()[row[at]]
             pos = pack(first[at], count[at], _tags(data, offsets)[row[at]])
-            order, lead = _firsts(r[at], doc, pos)
-            at, doc, pos = at[order[lead]], doc[order[lead]], pos[order[lead]]
-            salt = np.where(_in(hot.value, h[at]), r[at] % SALTS + 1, 0)
             start = offsets[row[at]] + first[at]
             flat = data.tobytes()
-            bodies = [
-                flat[a:b] for a, b in zip(start.tolist(), (start + count[at] + LENGTH - 1).tolist(), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[at] ^ (salt << 40)), pa.array(salt > 0), pa.array(doc), pa.array(pos), pa.array(bodies, pa.binary())],
-                names=["h", "split", "doc", "pos", "body"],
-            )
+            bodies = np.empty(len(at), object)
+            ends = start + count[at] + LENGTH - 1
+            bodies[:] = [flat[a:b] for a, b in zip(start.tolist(), ends.tolist(), strict=True)]
+            held.append([h[at], r[at], batch.column(0).to_numpy()[row[at]], pos, bodies])
+            size += len(at)
+            if size >= SUSPECTS_AT_ONCE:
+                yield settle()
+                held.clear()
+                size = 0
+        if held:
+            yield settle()
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, False):
