@@ -30,6 +30,7 @@ from rowsmith.llm.text import mix, parts, raw, slices
 
 CHUNK = 1024
 GROUP_BYTES = 4 << 20
+ROWS_AT_ONCE = 256
 _WINDOW = 16
 _GEAR = (mix(np.arange(256, dtype=np.uint64) + np.uint64(7)) >> np.uint64(32)).astype(np.uint32)
 
@@ -311,7 +312,8 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
 
     def texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(path)
-        for batch in batches:
+        for whole_batch, at in ((b, i) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
+            batch = whole_batch.slice(at, ROWS_AT_ONCE)
             where = batch.schema.get_field_index(ids)
             found = [
                 None if v is None else coder.text(np.frombuffer(v, np.uint32)) for v in batch.column(where).to_pylist()
