@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.text import LOWER, Words, mix, raw, slices, windows
+from rowsmith.llm.text import LOWER, Words, mix, raw, slices, split_rows, windows
+from rowsmith.session import scratch_dir
 
 WINDOW = 8
 WORDS_AT_LEAST = 4
@@ -245,5 +246,8 @@ def _key(id_column: str, text: str):
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without a benchmark item, with all their columns; cases as in ``contaminated``."""
-    found = contaminated(docs, benchmark, id_column, text).select(F.col("row_key").alias("__found")).distinct()
-    return docs.join(found, _key(id_column, text) == F.col("__found"), "left_anti")
+    path = scratch_dir(docs.sparkSession, "contaminated")
+    contaminated(docs, benchmark, id_column, text).select(F.col("row_key").alias("__found")).distinct().write.parquet(path)
+    found = docs.sparkSession.read.parquet(path)
+    others, concerned = split_rows(docs, _key(id_column, text), found)
+    return others.union(concerned.join(found, F.col("__key") == F.col("__found"), "left_anti").drop("__key"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsmith.llm.components import components
-from rowsmith.llm.text import Words, mix, slices, windows
+from rowsmith.llm.text import Words, mix, slices, split_rows, windows
 from rowsmith.session import scratch_dir
 
 WIDTH = 5
@@ -396,3 +396,23 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         F.when(F.col("n") > 0, F.col("c")).alias("class_id"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each component, that with the smallest id, with all its columns.
+
+    Documents without words, and rows with a null id, all stay. Rows with the same id and text are one
+    document, of which one row stays. Other cases as in ``join_documents``.
+    """
+    spark = docs.sparkSession
+    path = scratch_dir(spark, "joined")
+    join_documents(docs, id_column, text).select(id_column, "component_id").write.parquet(path)
+    found = spark.read.parquet(path).filter(F.col(id_column).isNotNull())
+    gone = found.filter(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("__gone")).distinct()
+    twice = found.groupBy(id_column).count().filter("count > 1").select(id_column)
+    keys = gone.union(twice).select(F.xxhash64(F.col("__gone")))
+    others, concerned = split_rows(docs, F.xxhash64(F.col(id_column)), keys)
+    concerned = concerned.join(gone, F.col(id_column) == F.col("__gone"), "left_anti").drop("__key")
+    here = F.col(id_column).isNotNull()
+    once = concerned.filter(here).dropDuplicates([id_column, text])
+    return others.union(once).union(concerned.filter(~here))

@@ -514,3 +514,56 @@ def dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", batche
         cut, "id bigint, n_bytes bigint, n_removed bigint, spans array<array<bigint>>, kept binary"
     )
     return result.withColumnRenamed("id", id_column)
+
+
+def strip(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:
+    """The documents without repeated bytes in their texts, with all their columns.
+
+    Every row stays, with the text that is left; characters of which bytes were removed go whole.
+    ``length`` names the column with the number of characters, if there is one. Null texts stay null.
+    Other cases as in ``dedup``.
+    """
+    rest = F.struct(*(F.col(c) for c in docs.columns if c != text))
+    doc = F.coalesce(F.col(id_column).cast("bigint"), F.lit(-(1 << 63)))
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    found = repeats(docs.select(doc.alias("doc"), body.alias("text")))
+    found = found.groupBy("doc", "tag").agg(F.collect_list("spans").alias("found"))
+    rows = docs.select(doc.alias("doc"), body.alias("text"), F.col(text).isNull().alias("none"), rest.alias("rest"))
+    kind = rows.schema["rest"].dataType.simpleString()
+    packed = rows.mapInArrow(_pack_texts, f"doc bigint, tag bigint, packed binary, none boolean, rest {kind}")
+    joined = packed.join(found, ["doc", "tag"], "left").select("packed", "found", "none", "rest")
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press = zstandard.ZstdDecompressor()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                texts = []
+                columns = (batch.column(i).to_pylist() for i in range(3))
+                for item, lists, none in zip(*columns, strict=True):
+                    data = press.decompress(item)
+                    runs = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in lists or ()]
+                    out, last = [], 0
+                    for first, end in merged(np.concatenate(runs)).tolist() if runs else ():
+                        out.append(data[last:first].decode(errors="ignore"))
+                        last = end
+                    out.append(data[last:].decode(errors="ignore"))
+                    texts.append(None if none else "".join(out))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(texts, pa.string()), batch.column(3)], names=["text", "rest"]
+                )
+
+    made = joined.mapInArrow(cut, f"text string, rest {kind}")
+    size = F.char_length("text").cast(docs.schema[length].dataType) if length in docs.columns else None
+    return made.select(
+        *(
+            F.col("text").alias(c)
+            if c == text
+            else F.coalesce(size, F.col("rest")[c]).alias(c)
+            if c == length
+            else F.col("rest")[c].alias(c)
+            for c in docs.columns
+        )
+    )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 # A task handles so many bytes of text at once; a single longer text is one slice of its own.
 SLICE_BYTES = 4 << 20
 BATCH_BYTES = 8 << 20
+FILTER_BITS = 1 << 26
 
 # The white space between words, x20 and x09 to x0D.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -155,6 +156,53 @@ def code_points(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray | None =
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def bit_set(hashes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A bit for the highest bits of each 64-bit hash in the first column: a fixed size for any number."""
+    shift = 64 - (bits.bit_length() - 1)
+    words = (
+        hashes.toDF("h")
+        .selectExpr(f"shiftrightunsigned(h, {shift}) AS slot")
+        .selectExpr("shiftright(slot, 6) AS word", "shiftleft(1L, cast(slot % 64 AS int)) AS one")
+        .groupBy("word")
+        .agg(F.bit_or("one").alias("bits"))
+        .toArrow()
+    )
+    out = np.zeros(bits // 64, np.int64)
+    if words.num_rows:
+        out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
+def in_bit_set(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes (int64) may be in the set."""
+    shift = np.uint64(64 - ((len(found) * 64).bit_length() - 1))
+    slot = (hashes.view(np.uint64) >> shift).astype(np.int64)
+    return ((found[slot >> 6] >> (slot & 63)) & 1).astype(bool)
+
+
+def split_rows(docs: DataFrame, key, hashes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key (a 64-bit hash column) is surely not among the hashes, and the others, with ``__key``.
+
+    So a join with the hashes has to move only the few rows that it may concern.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(bit_set(hashes))
+    n = len(docs.columns)
+    keyed = docs.withColumn("__key", key)
+
+    def part(wanted: bool):
+        def take(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = in_bit_set(sent.value, batch.column(n).to_numpy())
+                yield batch.filter(pa.array(hit if wanted else ~hit))
+
+        return take
+
+    return (
+        keyed.mapInArrow(part(False), keyed.schema).drop("__key"),
+        keyed.mapInArrow(part(True), keyed.schema),
+    )
+
+
 def remainder(column: str, modulus: int):
     """crc32 of a column as text, modulo a number; null for null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
