@@ -37,8 +37,11 @@ HOT = 100_000
 SALTS = 64
 FILTER_BITS = 1 << 26
 # Samples that a task settles among each other at once.
-SAMPLES_AT_ONCE = 1 << 20
+SAMPLES_AT_ONCE = 1 << 18
 SUSPECTS_AT_ONCE = 1 << 16
+# Bytes handled at once, which bounds the arrays of a task.
+SLICE = 1 << 20
+PIECE = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C55
 _BYTES = mix(np.arange(256, dtype=np.uint64) + np.uint64(99))
@@ -52,8 +55,19 @@ def _power(k: int) -> np.uint64:
 
 
 def _hashes(data: np.ndarray, sizes: Iterable[int]) -> list[np.ndarray]:
-    """Hashes of all runs of each size, the sizes up to 127, from those of powers of two."""
+    """Hashes of all runs of each size (up to 127), computed for PIECE bytes at a time."""
     sizes = list(sizes)
+    out = [np.zeros(max(0, len(data) - size + 1), np.uint64) for size in sizes]
+    for at in range(0, max(map(len, out)), PIECE):
+        for all_, some in zip(out, _piece_hashes(data[at : at + PIECE + max(sizes) - 1], sizes), strict=True):
+            n = min(PIECE, len(all_) - at)
+            if n > 0:
+                all_[at : at + n] = some[:n]
+    return out
+
+
+def _piece_hashes(data: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    """Those of a piece, put together from the hashes of powers of two."""
     double = {1: _BYTES[data]}
     k = 1
     with np.errstate(over="ignore"):
@@ -189,7 +203,7 @@ def _suffixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(rest):
             yield _span_rows(doc[rest], pos[rest])
 
-    for batch in slices(batches, 1):
+    for batch in slices(batches, 1, SLICE):
         data, offsets = raw(batch.column(1))
         h, r, row, first, count = regions(data, offsets)
         if len(h):
@@ -335,7 +349,7 @@ class Family:
 def _owners(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One hash of each filter slot that a task's owners have."""
     drop = 40 - (FILTER_BITS.bit_length() - 1)
-    for batch in slices(batches, 1):
+    for batch in slices(batches, 1, SLICE):
         h = regions(*raw(batch.column(1)))[0]
         yield pa.RecordBatch.from_arrays([pa.array(np.unique(h >> drop) << drop, pa.int64())], names=["h"])
 
@@ -380,7 +394,7 @@ def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
                 names=["h", "split", "doc", "pos", "body"],
             )
 
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE):
             data, offsets = raw(batch.column(1))
             h, r, row, first, count = regions(data, offsets)
             at = np.flatnonzero(_in(marks.value, h)) if len(h) else np.zeros(0, np.int64)
@@ -450,7 +464,7 @@ def _pack_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import zstandard
 
     press = zstandard.ZstdCompressor(level=1)
-    for batch in slices(batches, 1):
+    for batch in slices(batches, 1, SLICE):
         data, offsets = raw(batch.column(1))
         flat = data.tobytes()
         packed = [press.compress(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]

@@ -53,13 +53,15 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str | int) -> Iterator[pa.RecordBatch]:
-    """Cut record batches into runs of rows with at most SLICE_BYTES of text, one row at least."""
+def slices(
+    batches: Iterable[pa.RecordBatch], column: str | int, size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut record batches into runs of rows with at most ``size`` bytes of text, one row at least."""
     for batch in batches:
         ends = raw(batch.column(column))[1]
         at = 0
         while at < batch.num_rows:
-            to = int(np.searchsorted(ends, ends[at] + SLICE_BYTES, "right")) - 1
+            to = int(np.searchsorted(ends, ends[at] + size, "right")) - 1
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to
