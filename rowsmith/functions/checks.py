@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import NumericType
 
 
+def folding(df: DataFrame) -> Callable[[str], str]:
+    """How names compare in the table's session: by case only where ``spark.sql.caseSensitive`` is set."""
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
+    return str if sensitive else str.lower
+
+
 def require_columns(df: DataFrame, columns: Iterable[str]) -> None:
-    missing = [c for c in columns if c not in df.columns]
+    fold = folding(df)
+    there = {fold(c) for c in df.columns}
+    missing = [c for c in columns if fold(c) not in there]
     if missing:
         raise ValueError(f"columns not in the table: {', '.join(missing)}")
 
@@ -23,8 +31,10 @@ def require_numeric(df: DataFrame, columns: Iterable[str]) -> None:
         raise ValueError(f"columns must be numeric: {', '.join(other)}")
 
 
-def require_unique(columns: Sequence[str]) -> None:
-    if len(set(columns)) != len(columns):
+def require_unique(columns: Sequence[str], df: DataFrame | None = None) -> None:
+    """Reject repeated names; those of a table's columns compare as its session does."""
+    fold = folding(df) if df is not None else str
+    if len({fold(c) for c in columns}) != len(columns):
         raise ValueError(f"columns must be unique: {', '.join(columns)}")
 
 
@@ -50,8 +60,10 @@ def require_order(order_by: Sequence[str]) -> None:
 
 
 def require_new_names(df: DataFrame, names: Sequence[str]) -> None:
-    require_unique(names)
-    clash = [n for n in names if n in df.columns]
+    require_unique(names, df)
+    fold = folding(df)
+    there = {fold(c) for c in df.columns}
+    clash = [n for n in names if fold(n) in there]
     if clash:
         raise ValueError(f"derived columns already exist: {', '.join(clash)}")
 

@@ -2,45 +2,113 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
+from collections.abc import Sequence
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, IntegralType, LongType
 
 from rowsmith.functions.registry import AGGREGATES
 
-# Spark evaluates a sliding frame anew for every row, so its cost grows with the window.
-# Beyond this width sums of exact types use two running totals, whose cost does not.
-WIDE_WINDOW = 64
+# From this window on, rolling features are computed in runs unless a caller says otherwise.
+RUNS_FROM = 64
+
+_ROW, _RUN = "__row", "__run"
+
+
+class Frame(NamedTuple):
+    """One rolling feature: its output, column, type, aggregate, window and lag."""
+
+    output: str
+    column: str
+    dtype: DataType
+    aggregate: str
+    window: int
+    lag: int
+
 
+def _summed(f: Frame) -> Column:
+    """The value as it is added up: exact for exact types, whatever the window."""
+    value = F.col(f.column)
+    return value.cast("decimal(20,0)") if f.aggregate == "mean" and isinstance(f.dtype, IntegralType) else value
 
-def _totals_are_exact(dtype: DataType, aggregate: str) -> bool:
-    if isinstance(dtype, DecimalType):
-        return aggregate == "sum"
-    return isinstance(dtype, IntegralType) and aggregate in ("sum", "mean")
+
+def _finished(f: Frame, total: Column) -> Column:
+    if f.aggregate == "mean":
+        if isinstance(f.dtype, DecimalType):
+            p, s = f.dtype.precision, f.dtype.scale
+            return (total / f.window).cast(DecimalType(min(38, p + 4), min(38, s + 4)))
+        return total.cast("double") / f.window
+    if f.aggregate == "sum":
+        if isinstance(f.dtype, DecimalType):
+            return total.cast(DecimalType(min(38, f.dtype.precision + 10), f.dtype.scale))
+        if isinstance(f.dtype, IntegralType):
+            return total.cast(LongType())
+    return total
+
+
+def _function(f: Frame):
+    return F.sum if f.aggregate in ("sum", "mean") else AGGREGATES[f.aggregate]
 
 
 def rolling(
-    column: str, dtype: DataType, aggregate: str, window: int, lag: int, spec: WindowSpec
-) -> Column:
-    """Aggregate of ``window`` rows ending ``lag`` rows back; null unless all of them hold a value."""
-    first, last = -(window - 1) - lag, -lag
-    value = F.col(column)
-    if window > WIDE_WINDOW and _totals_are_exact(dtype, aggregate):
-        upto = spec.rowsBetween(Window.unboundedPreceding, last)
-        before = spec.rowsBetween(Window.unboundedPreceding, first - 1)
-        filled = F.count(value).over(upto) - F.count(value).over(before)
-        if isinstance(dtype, DecimalType):
-            exact, total_type = value, DecimalType(min(38, dtype.precision + 10), dtype.scale)
-        else:
-            exact, total_type = value.cast("decimal(20,0)"), LongType()
-        zero = F.lit(0).cast("decimal(1,0)")
-        total = F.sum(exact).over(upto) - F.coalesce(F.sum(exact).over(before), zero)
-        result = total.cast("double") / window if aggregate == "mean" else total.cast(total_type)
-    else:
-        frame = spec.rowsBetween(first, last)
-        filled = F.count(value).over(frame)
-        result = AGGREGATES[aggregate](value).over(frame)
-    return F.when(filled >= window, result)
+    df: DataFrame, by: Sequence[str], order: Sequence[str], frames: Sequence[Frame], runs_from: int = RUNS_FROM
+) -> DataFrame:
+    """Add aggregates of ``window`` rows ending ``lag`` rows back; null unless all of them hold a value.
+
+    Spark evaluates a sliding frame anew for every row, at a cost that grows with the window. So
+    windows of ``runs_from`` rows or more are put together from two parts: the ordered group is
+    cut into runs as long as the window, and a window is the end of one run and the start of the
+    next. Both parts are running aggregates within a run, so the cost does not depend on the
+    window, nothing is added up beyond it, and any aggregate and type works. For exact types the
+    results equal those of sliding frames; sums of doubles may differ in their last digits.
+    """
+    spec = Window.partitionBy(*by).orderBy(*order)
+    near = [f for f in frames if f.window < runs_from]
+    far = [f for f in frames if f.window >= runs_from]
+    if near:
+        columns = {}
+        for f in near:
+            frame = spec.rowsBetween(-(f.window - 1) - f.lag, -f.lag)
+            total = _finished(f, _function(f)(_summed(f)).over(frame))
+            columns[f.output] = F.when(F.count(f.column).over(frame) >= f.window, total)
+        df = df.withColumns(columns)
+    if not far:
+        return df
+    df = df.withColumn(_ROW, F.row_number().over(spec) - 1)
+    for window in sorted({f.window for f in far}):
+        df = _in_runs(df, by, order, spec, window, [f for f in far if f.window == window])
+    return df.drop(_ROW)
+
+
+def _in_runs(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], spec: WindowSpec, window: int, frames: Sequence[Frame]
+) -> DataFrame:
+    df = df.withColumn(_RUN, F.floor(F.col(_ROW) / window))
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    runs = Window.partitionBy(*by, _RUN)
+    ahead, back = runs.orderBy(_ROW).rowsBetween(*upto), runs.orderBy(F.desc(_ROW)).rowsBetween(*upto)
+    parts: dict[str, Column] = {}
+    for i, f in enumerate(frames):
+        value = _function(f)(_summed(f))
+        parts |= {f"__head_{i}": value.over(ahead), f"__tail_{i}": value.over(back)}
+        parts |= {f"__heads_{i}": F.count(f.column).over(ahead), f"__tails_{i}": F.count(f.column).over(back)}
+    df = df.withColumns(parts)
+    whole = F.pmod(F.col(_ROW), F.lit(window)) == window - 1
+    values: dict[str, Column] = {}
+    for i, f in enumerate(frames):
+        head, tail = F.col(f"__head_{i}"), F.lag(f"__tail_{i}", window - 1).over(spec)
+        tails = F.lag(f"__tails_{i}", window - 1).over(spec)
+        both = {"min": F.least, "max": F.greatest}.get(f.aggregate, lambda a, b: a + b)(head, tail)
+        full = F.when(whole, F.col(f"__heads_{i}")).otherwise(F.col(f"__heads_{i}") + tails) >= window
+        values[f"__value_{i}"] = F.when(full, _finished(f, F.when(whole, head).otherwise(both)))
+    df = df.withColumns(values)
+    moved = {
+        f.output: F.lag(f"__value_{i}", f.lag).over(spec) if f.lag else F.col(f"__value_{i}")
+        for i, f in enumerate(frames)
+    }
+    return df.withColumns(moved).drop(_RUN, *parts, *values)
 
 
 def running_sum(column: str, spec: WindowSpec) -> Column:

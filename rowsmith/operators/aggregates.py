@@ -1,7 +1,8 @@
 """Grouped and whole-table aggregates.
 
 All of them aggregate partially before the shuffle, so a key that holds most of the rows costs no
-more than any other.
+more than any other. Grouped sums of no values are null; whole-column totals of none are 0. Spark
+orders NaN above all numbers, so a grouped maximum with a NaN is NaN.
 """
 
 from __future__ import annotations
@@ -67,18 +68,18 @@ def column_mean(df: DataFrame, column: str) -> DataFrame:
 
 
 def guarded_sum(df: DataFrame, column: str, limit: float = names.SUM_LIMIT) -> DataFrame:
-    """One row with the column's total; the job fails where the total exceeds ``limit``."""
+    """One row with the column's total, 0 if it has no values; the job fails where it exceeds ``limit``."""
     checks.require_numeric(df, [column])
-    total = F.sum(column)
+    total = F.coalesce(F.sum(column), F.lit(0))
     message = F.concat(F.lit(f"sum of {column} exceeds {limit}: "), total.cast("string"))
     output = names.derived(names.BY_OPERATION, column, "sum")
     return df.agg(F.when(total > limit, F.raise_error(message)).otherwise(total).alias(output))
 
 
 def sum_times(df: DataFrame, column: str, factor: float = 0) -> DataFrame:
-    """One row with the column's total times ``factor``."""
+    """One row with the column's total, 0 if it has no values, times ``factor``."""
     checks.require_numeric(df, [column])
-    return df.agg((F.sum(column) * F.lit(factor)).alias(f"sum_times_{column}"))
+    return df.agg((F.coalesce(F.sum(column), F.lit(0)) * F.lit(factor)).alias(f"sum_times_{column}"))
 
 
 def summarize_samples(df: DataFrame, metric: str, value: str) -> DataFrame:

@@ -187,14 +187,14 @@ def positional(
     columns: Sequence[str],
     back: int,
     ahead: int,
-    build: Callable[[WindowSpec], dict[str, Column]],
+    add: Callable[[DataFrame, Sequence[str]], DataFrame],
 ) -> DataFrame:
     """Add window columns that reach ``back`` rows before and ``ahead`` rows after the current one.
 
-    ``df`` is a table with blocks assigned if there are cuts, and keeps them.
+    ``df`` is a table with blocks assigned if there are cuts, and keeps them. ``add`` gets a table and
+    the columns that make its groups.
     """
     if cuts is None:
-        return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))
-    spec = Window.partitionBy(*keys, BLOCK).orderBy(*order)
+        return add(df, list(keys))
     reached = with_halo(df, cuts, columns, back, ahead)
-    return reached.withColumns(build(spec)).filter(HOME).drop(HOME)
+    return add(reached, [*keys, BLOCK]).filter(HOME).drop(HOME)

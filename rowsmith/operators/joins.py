@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from rowsmith.functions import checks
 from rowsmith.operators.labels import sql_predicates, threshold_if_present
@@ -63,15 +64,16 @@ def join_partitioned(
     coalesce_keys: bool = True,
     rows_per_task: int | None = None,
 ) -> DataFrame:
-    """Hash join of both tables shuffled into ``num_partitions`` (by default the session's number).
+    """Join of both tables shuffled into ``num_partitions``; without a number, ``join``.
 
     A fixed number of partitions is out of adaptive execution's reach, so a large key is salted
-    here: its rows on the larger side are spread over several partitions, and its rows on the other
-    side are copied to each of them.
+    here: its rows on the larger side are spread over several partitions by a hash of their other
+    columns, and its rows on the other side are copied to each of them. Rows that are equal in all
+    columns stay together.
     """
-    keys, how, left, right = _prepare(left, right, on, how, suffix)
     if num_partitions is None:
-        num_partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return join(left, right, on, how, suffix, coalesce_keys, rows_per_task)
+    keys, how, left, right = _prepare(left, right, on, how, suffix)
     if num_partitions < 1:
         raise ValueError(f"num_partitions must be at least 1, got {num_partitions}")
 
@@ -79,7 +81,7 @@ def join_partitioned(
     sizes = [_key_sizes(side, keys) for side in (left, right)]
     if all(largest <= limit for _, largest in sizes):
         sides = (_spread(left, num_partitions, keys), _spread(right, num_partitions, _mates(keys)))
-        joined = _hash_join(*sides, _matching(keys), how)
+        joined = sides[0].join(sides[1], _matching(keys), how)
         return _named(joined, left, right, keys, how, suffix, coalesce_keys)
 
     limit = max(limit, *(math.ceil(total / MAX_LARGE_KEYS) for total, _ in sizes))
@@ -87,8 +89,7 @@ def join_partitioned(
     salted_left = _salted(left, salts, keys, keys, spread_here=F.col(_ON_LEFT))
     salted_right = _salted(right, salts, keys, _mates(keys), spread_here=~F.col(_ON_LEFT))
     salted_right = salted_right.withColumnRenamed(_SALT, f"__mate{_SALT}")
-    inner = _hash_join(
-        _spread(salted_left, num_partitions, [*keys, _SALT]),
+    inner = _spread(salted_left, num_partitions, [*keys, _SALT]).join(
         _spread(salted_right, num_partitions, [*_mates(keys), f"__mate{_SALT}"]),
         [*_matching(keys), F.col(_SALT) == F.col(f"__mate{_SALT}")],
         "inner",
@@ -148,11 +149,20 @@ def _prepare(
     keys = [on] if isinstance(on, str) else list(on)
     checks.require_columns(left, keys)
     checks.require_columns(right, keys)
-    taken = {c: f"{c}{suffix}" for c in right.columns if c in left.columns and c not in keys}
+    checks.require_unique(keys, left)
+    fold = checks.folding(left)
+    on_left, on_right = ({fold(c): c for c in side.columns} for side in (left, right))
+    for k in keys:
+        ours, theirs = (side.schema[names[fold(k)]].dataType for side, names in ((left, on_left), (right, on_right)))
+        if ours != theirs and not (isinstance(ours, NumericType) and isinstance(theirs, NumericType)):
+            raise ValueError(f"key {k} is {ours.simpleString()} on the left, {theirs.simpleString()} on the right")
+    keys = [on_left[fold(k)] for k in keys]
+    own = {fold(k) for k in keys}
+    taken = {c: f"{c}{suffix}" for f, c in on_right.items() if f in on_left and f not in own}
     for name in taken.values():
-        if name in left.columns or name in right.columns:
+        if fold(name) in on_left or fold(name) in on_right:
             raise ValueError(f"column {name} already exists, choose another suffix")
-    renames = {**taken, **dict(zip(keys, _mates(keys)))}
+    renames = {**taken, **{on_right[fold(k)]: m for k, m in zip(keys, _mates(keys))}}
     return keys, HOW[how], left, right.withColumnsRenamed(renames)
 
 
@@ -213,10 +223,6 @@ def _spread(df: DataFrame, num_partitions: int, keys: Sequence[str]) -> DataFram
     return df.repartition(num_partitions, *keys)
 
 
-def _hash_join(left: DataFrame, right: DataFrame, on: list[Column], how: str) -> DataFrame:
-    return left.join(right.hint("shuffle_hash"), on, how)
-
-
 def _salts(left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     """The keys with more than ``limit`` rows, the side that has more, and the pieces to make.
 
@@ -237,16 +243,17 @@ def _salted(
 ) -> DataFrame:
     """Add a salt: one per row where the key's rows are spread, all of them where they are copied.
 
-    A row's salt comes from the number of its input task, which a retried task keeps.
+    A row's salt is a hash of its columns, so it depends neither on where the row was before nor on
+    which task computes it.
     """
     match = salts.withColumnsRenamed({k: f"__large_{k}" for k in keys})
     same = [F.col(o) == F.col(f"__large_{k}") for o, k in zip(own, keys)]
-    task = F.spark_partition_id()
+    piece = F.xxhash64(*(F.col(c) for c in df.columns))
     choices = (
         F.when(F.col(_SALTS).isNull(), F.array(F.lit(0)))
-        .when(spread_here, F.array(F.pmod("__task", _SALTS)))
+        .when(spread_here, F.array(F.pmod("__piece", _SALTS).cast("int")))
         .otherwise(F.sequence(F.lit(0), F.col(_SALTS) - 1))
     )
-    tagged = df.withColumn("__task", task).join(match, same, "left")
+    tagged = df.withColumn("__piece", piece).join(match, same, "left")
     salted = tagged.withColumn(_SALT, F.explode(choices))
     return salted.select(*df.columns, _SALT)

@@ -1,7 +1,7 @@
 """Min-max and z-score scaling by whole-column statistics.
 
 The statistics of all columns come from one aggregate in one scalar subquery, so scaling never
-shuffles the table.
+shuffles the table. NaN takes no part in the statistics, and stays NaN.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ def _scale(
     parts: list[Column] = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
+        x = F.when(~F.isnan(x), x)
         if kind == "minmax":
             parts += [F.min(x).alias(f"shift_{i}"), (F.max(x) - F.min(x)).alias(f"spread_{i}")]
         else:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsmith.functions import checks, frames, names
@@ -101,18 +101,17 @@ def _roll(
     features: Sequence[Rolling],
     keys: Sequence[str],
     order: Sequence[str],
+    runs_from: int = frames.RUNS_FROM,
 ) -> DataFrame:
     types = {f.column: df.schema[f.column].dataType for f in features}
+    wanted = [
+        frames.Frame(f.output, f.column, types[f.column], rolling_aggregate(f.op), f.window, f.lag) for f in features
+    ]
 
-    def build(spec: WindowSpec) -> dict[str, Column]:
-        return {
-            f.output: frames.rolling(
-                f.column, types[f.column], rolling_aggregate(f.op), f.window, f.lag, spec
-            )
-            for f in features
-        }
+    def add(table: DataFrame, by: Sequence[str]) -> DataFrame:
+        return frames.rolling(table, by, order, wanted, runs_from)
 
-    return positional(df, cuts, keys, order, list(types), *_reach(features), build)
+    return positional(df, cuts, keys, order, list(types), *_reach(features), add)
 
 
 def _accumulate(
@@ -124,24 +123,23 @@ def _accumulate(
 ) -> DataFrame:
     """Running totals, ``outputs`` mapping each new name to its column."""
     if cuts is None:
-        return positional(
-            df, None, keys, order, [], 0, 0,
-            lambda spec: {n: frames.running_sum(c, spec) for n, c in outputs.items()},
-        )
+        spec = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumns({n: frames.running_sum(c, spec) for n, c in outputs.items()})
     carried = {n: f"__carry_{i}" for i, n in enumerate(outputs)}
     types = df.agg(*(F.sum(c).alias(n) for n, c in outputs.items())).schema
     df = carry_in(df, cuts, {carried[n]: F.sum(c) for n, c in outputs.items()})
 
-    def build(spec: WindowSpec) -> dict[str, Column]:
+    def add(table: DataFrame, by: Sequence[str]) -> DataFrame:
+        spec = Window.partitionBy(*by).orderBy(*order)
         total = {}
         for n, c in outputs.items():
             running = frames.running_sum(c, spec)
             earlier = F.col(carried[n])
             joined = F.when(earlier.isNull(), running).otherwise(earlier + running)
             total[n] = joined.cast(types[n].dataType)
-        return total
+        return table.withColumns(total)
 
-    return positional(df, cuts, keys, order, [], 0, 0, build).drop(*carried.values())
+    return positional(df, cuts, keys, order, [], 0, 0, add).drop(*carried.values())
 
 
 def rolling(
@@ -151,15 +149,18 @@ def rolling(
     partition_by: Sequence[str] = (),
     rows_per_block: int | None = None,
     measured: DataFrame | None = None,
+    runs_from: int = frames.RUNS_FROM,
 ) -> DataFrame:
     """Add rolling features, over the whole ordered table or within ``partition_by``.
 
     ``measured`` is a cheaper table with the same keys and order, to count instead of ``df``.
+    Windows of ``runs_from`` rows or more are computed in runs, at a cost that does not depend on the
+    window; exact types give the same results either way.
     """
     _check_rolling(df, features, partition_by, order_by, lead=not partition_by)
     cuts = _cut_for(measured or df, partition_by, order_by, rows_per_block, _reach(features))
     blocked = assign_blocks(df, cuts) if cuts else df
-    return _roll(blocked, cuts, features, partition_by, order_by).drop(BLOCK, CUT)
+    return _roll(blocked, cuts, features, partition_by, order_by, runs_from).drop(BLOCK, CUT)
 
 
 def rolling_over_self(
@@ -169,8 +170,9 @@ def rolling_over_self(
     rows_per_block: int | None = None,
 ) -> DataFrame:
     """Rolling features where each column is also its own partition key."""
+    source = df
     for f in features:
-        df = rolling(df, [f], order_by, [f.column], rows_per_block)
+        df = rolling(df, [f], order_by, [f.column], rows_per_block, source)
     return df
 
 
@@ -231,5 +233,7 @@ def shift(
     blocked = assign_blocks(df, cuts) if cuts else df
     return positional(
         blocked, cuts, partition_by, order_by, [column], *reach,
-        lambda spec: {output: F.lag(column, lag).over(spec)},
+        lambda table, by: table.withColumn(
+            output, F.lag(column, lag).over(Window.partitionBy(*by).orderBy(*order_by))
+        ),
     ).drop(BLOCK, CUT)

@@ -216,11 +216,11 @@ def label_and_join(
     how: str,
     label_column: str,
     rows_per_file: int | None = None,
-    partitioned: bool = True,
+    partitioned: bool = False,
     num_partitions: int | None = None,
     schemas: Sequence[Schema] | None = None,
 ) -> str:
-    """Threshold-label, hash join, and write a table that must not exist yet."""
+    """Threshold-label, join (``partitioned``: into a fixed number of partitions), and write a new table."""
     left, right = checks.require_two_tables(readers.read_tables(spark, sources, schemas))
     checks.require_numeric(left, [label_column])
     joined = joins.label_both_then_join(

@@ -103,7 +103,7 @@ _FEATURE_BUNDLE = f"""WITH {_EVENTS}
 
 ORACLE: dict[str, str] = {
     "src_csv": "SELECT * FROM customer",
-    "src_csv_inferred": "SELECT p_partkey, p_name, p_retailprice FROM part",
+    "src_csv_inferred": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "src_parquet": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
         CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders""",
     "src_multi_csv": """SELECT c_custkey, c_name, n_name
@@ -257,3 +257,16 @@ for _name in (
     "rank_average", "rank_dense", "rank_min", "feature_bundle",
 ):
     ORACLE[f"{_name}_blocks"] = ORACLE[_name]
+
+
+def _wide(aggregate: str, value: str, outer: str) -> str:
+    return f"""SELECT event_id, {outer.format(
+        f"CASE WHEN COUNT({value}) OVER w >= 2000 THEN {aggregate}({value}) OVER w END")} AS rolled
+        FROM events WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 1999 PRECEDING AND CURRENT ROW)"""
+
+
+for _op, _aggregate in (("sum", "SUM"), ("mean", "AVG"), ("min", "MIN"), ("max", "MAX")):
+    ORACLE[f"rolling_{_op}_wide_double"] = _wide(_aggregate, "value", "ROUND({}, 6)")
+ORACLE["rolling_sum_wide_decimal"] = _wide("SUM", "CAST(value AS DECIMAL(12,2))", "CAST({} AS DOUBLE)")
+ORACLE["join_suffix_case"] = """SELECT n_regionkey AS region_key, n_name AS nation, r_name AS region
+    FROM nation JOIN region ON n_regionkey = r_regionkey"""

@@ -89,7 +89,7 @@ def src_csv(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def src_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
     path = _csv_copy(table(spark, sf, "part"), "part")
-    part = readers.read_csv(spark, path).select("p_partkey", "p_name", "p_retailprice")
+    part = readers.read_csv(spark, path)
     return part.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
 
 
@@ -106,9 +106,10 @@ def src_multi_csv(spark: SparkSession, sf: str) -> DataFrame:
         f"{scratch_dir(spark, 'none')}/missing.csv",
         _csv_copy(table(spark, sf, "nation"), "nation"),
     ]
-    nation = "c_nationkey int, n_name string, n_regionkey int"
-    found = readers.read_tables(spark, paths, [CUSTOMER, None, nation], missing="skip")
-    return joins.join(*found, "c_nationkey").select("c_custkey", "c_name", "n_name")
+    schema = "n_nationkey int, n_name string, n_regionkey int"
+    customer, nation = readers.read_tables(spark, paths, [CUSTOMER, None, schema], missing="skip")
+    nation = nation.withColumnRenamed("n_nationkey", "c_nationkey")
+    return joins.join(customer, nation, "c_nationkey").select("c_custkey", "c_name", "n_name")
 
 
 @query
@@ -448,6 +449,32 @@ for _name, _args in {
     QUERIES[f"{_name}_blocks"] = _whole_table(*_args, ROWS_PER_BLOCK)
 
 
+def _wide(op: str, dtype: str, name: str) -> Query:
+    """A window of 2,000 rows, computed in runs. Sums of doubles are rounded: the order of adding differs."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        values = table(spark, sf, "events").select("event_id", "ts", F.col("value").cast(dtype).alias("value"))
+        rolled = windows.rolling(values, [Rolling("value", 2_000, 0, f"rolling_{op}", "rolled")], ORDER)
+        value = F.round("rolled", 6) if dtype == "double" else F.col("rolled").cast("double")
+        return rolled.select("event_id", value.alias("rolled"))
+
+    run.__name__ = name
+    return run
+
+
+for _op in ("sum", "mean", "min", "max"):
+    QUERIES[f"rolling_{_op}_wide_double"] = _wide(_op, "double", f"rolling_{_op}_wide_double")
+QUERIES["rolling_sum_wide_decimal"] = _wide("sum", "decimal(12,2)", "rolling_sum_wide_decimal")
+
+
+@query
+def join_suffix_case(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys and names that differ by case only: one key column, the other name with the suffix."""
+    nation = table(spark, sf, "nation").selectExpr("n_regionkey AS Key", "n_name AS Name")
+    region = table(spark, sf, "region").selectExpr("r_regionkey AS key", "r_name AS name")
+    return joins.join(nation, region, "key").toDF("region_key", "nation", "region")
+
+
 @query
 def cumsum_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return kept(windows.cumulative_sum(sparse_events(spark, sf), ["cents"], ORDER, ["user_id"]))

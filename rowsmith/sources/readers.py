@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rowsmith.functions import checks
 
@@ -15,11 +15,33 @@ FORMATS = (".csv", ".parquet")
 Schema = StructType | str | None
 
 
-def read_csv(spark: SparkSession, path: str, schema: Schema = None) -> DataFrame:
-    """Read CSV with a header. Without a schema the types are inferred, which reads the file twice."""
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return _found(lambda: reader.csv(path), path)
+MODES = ("FAILFAST", "PERMISSIVE", "DROPMALFORMED")
+
+
+def read_csv(spark: SparkSession, path: str, schema: Schema = None, mode: str = "FAILFAST") -> DataFrame:
+    """Read CSV by the names in its header.
+
+    A schema gives columns and types, in any order; names that the header lacks are an error. Without a
+    schema the types are inferred, which reads the file twice. Rows that don't fit the types fail the
+    job; with mode ``PERMISSIVE`` what doesn't fit is null, with ``DROPMALFORMED`` such rows go.
+    """
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}, expected one of {', '.join(MODES)}")
+    reader = spark.read.option("header", True).option("mode", mode)
+    if not schema:
+        return _found(lambda: reader.option("inferSchema", True).csv(path), path)
+    wanted = schema if isinstance(schema, StructType) else _parsed(schema)
+    header = _found(lambda: spark.read.option("header", True).csv(path), path)
+    checks.require_columns(header, wanted.fieldNames())
+    fold = checks.folding(header)
+    types = {fold(f.name): f for f in wanted.fields}
+    full = StructType([types.get(fold(c), StructField(c, StringType())) for c in header.columns])
+    found = _found(lambda: reader.schema(full).option("enforceSchema", False).csv(path), path)
+    return found.select(*wanted.fieldNames())
+
+
+def _parsed(schema: str) -> StructType:
+    return StructType.fromDDL(schema)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

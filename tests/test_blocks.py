@@ -10,7 +10,6 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rowsmith.functions import frames
 from rowsmith.operators import blocks, ranks, windows
 from rowsmith.operators.windows import Rolling
 
@@ -117,20 +116,40 @@ def test_number_of_blocks_is_bounded(skewed, monkeypatch):
     assert by_id(cut) == by_id(windows.rolling(skewed, feature, ["id"], ["key"]))
 
 
-@pytest.mark.parametrize("op", ["sum", "mean"])
-@pytest.mark.parametrize("dtype", ["int", "bigint", "decimal(9,2)"])
-def test_wide_windows_use_running_totals_with_equal_results(spark, monkeypatch, op, dtype):
+@pytest.mark.parametrize("op", ["sum", "mean", "min", "max"])
+@pytest.mark.parametrize("dtype", ["int", "bigint", "decimal(9,2)", "double"])
+def test_windows_in_runs_equal_sliding_frames(spark, op, dtype):
     rows = [(i, None if i % 17 == 0 else Decimal(i * 7 % 31)) for i in range(120)]
     df = spark.createDataFrame(rows, "id int, x decimal(9,2)").withColumn("x", F.col("x").cast(dtype))
     feature = [Rolling("x", 6, 2, f"rolling_{op}", "r")]
     narrow = windows.rolling(df, feature, ["id"])
-    monkeypatch.setattr(frames, "WIDE_WINDOW", 2)
     for block in (None, 15):
-        wide = windows.rolling(df, feature, ["id"], rows_per_block=block)
+        wide = windows.rolling(df, feature, ["id"], rows_per_block=block, runs_from=2)
         assert wide.schema["r"].dataType == narrow.schema["r"].dataType
         assert by_id(wide) == by_id(narrow)
 
 
+@pytest.mark.parametrize("lag", [0, 3, -2])
+def test_runs_of_any_length_and_lag(spark, lag):
+    df = spark.range(50).selectExpr("int(id) as id", "id * id % 23 as x")
+    for window in (1, 2, 7, 49, 50, 51):
+        feature = [Rolling("x", window, lag, "rolling_sum", "r")]
+        near, far = (windows.rolling(df, feature, ["id"], runs_from=n) for n in (100, 1))
+        assert by_id(near) == by_id(far)
+
+
+@pytest.mark.parametrize("window", [64, 65])
+def test_large_exact_values(spark, window):
+    """Totals of the group overflow, those of a window don't; and beyond 2**53 doubles would round."""
+    df = spark.range(300).selectExpr("int(id) as id", "cast(9e35 as decimal(38,0)) as d", "9007199254740993 + id as n")
+    features = [Rolling("d", window, 0, "rolling_sum", "d_sum"), Rolling("n", window, 0, "rolling_mean", "n_mean")]
+    near, far = (windows.rolling(df, features, ["id"], runs_from=n).orderBy("id").collect() for n in (100, 2))
+    assert near == far
+    assert near[-1].d_sum == window * 9 * 10**35
+    exact = sum(9007199254740993 + i for i in range(300 - window, 300))
+    assert near[-1].n_mean == float(exact) / window
+
+
 @pytest.mark.parametrize(
     "order", ["timestamp", "timestamp_ntz", "date", "double", "decimal(12,3)", "string", "binary", "tinyint"]
 )

@@ -116,3 +116,32 @@ def test_label_both_then_join(spark):
         assert both.columns[2] == "mb_diferiencia" and both.columns[4] == "mb_diferiencia_right"
     one = joins.label_both_then_join(left, right.drop("mb"), "user_id", "left", "mb")
     assert one.columns == ["user_id", "mb", "mb_diferiencia"]
+
+
+def test_names_compare_as_the_session_does(spark):
+    left = spark.createDataFrame([(1, "a")], "K int, Name string")
+    right = spark.createDataFrame([(1, "b")], "k int, name string")
+    joined = joins.join(left, right, "k")
+    assert joined.columns == ["K", "Name", "name_right"] and joined.collect() == [(1, "a", "b")]
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(ValueError, match="not in the table: k"):
+            joins.join(left, right, "k")
+        same = joins.join(left, right.withColumnRenamed("k", "K"), "K")
+        assert same.columns == ["K", "Name", "name"]
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_keys_of_different_kinds_are_refused(spark):
+    left, right = (spark.createDataFrame([(v,)], f"k {t}") for v, t in ((1, "int"), ("1", "string")))
+    with pytest.raises(ValueError, match="key k is int on the left, string on the right"):
+        joins.join(left, right, "k")
+
+
+def test_salt_splits_rows_that_lie_together(spark):
+    left = spark.range(20_000).selectExpr("if(id % 2 = 0, 7, id) as k", "id as v").repartition(6, "k")
+    right = spark.range(100).selectExpr("id as k", "id * 2 as w")
+    joined = joins.join_partitioned(left, right, "k", num_partitions=16, rows_per_task=1_000)
+    sizes = joined.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r[1] for r in sizes) == 10_001 and max(r[1] for r in sizes) <= 5_000 and len(sizes) >= 5

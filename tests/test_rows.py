@@ -220,3 +220,19 @@ def test_checks(users):
     assert checks.require_rows(users) is users
     with pytest.raises(ValueError, match="must end in"):
         checks.require_suffix("table.json", [".csv", ".parquet"])
+
+
+def test_totals_of_nothing_are_zero_and_nan_takes_no_part(spark):
+    none = spark.createDataFrame([(None,)], "v double")
+    for empty in (none, none.filter("false")):
+        assert aggregates.guarded_sum(empty, "v").first()[0] == 0
+        assert aggregates.sum_times(empty, "v", 3).first()[0] == 0
+    found = scaling.minmax(spark.createDataFrame([(1.0,), (3.0,), (float("nan"),)], "v double"), ["v"])
+    values = [r[1] for r in found.orderBy("v").collect()]
+    assert values[:2] == [0.0, 1.0] and values[2] != values[2]
+
+
+def test_names_that_differ_by_case_only_clash(spark):
+    scaled = scaling.minmax(spark.createDataFrame([(1.0,), (2.0,)], "v double"), ["v"])
+    with pytest.raises(ValueError, match="already exist"):
+        scaling.guarded(scaled, ["v"], "minmax")

@@ -164,3 +164,36 @@ def test_strategies(spark, users, paths, tmp_path):
         flows.features_by_strategy(spark, [parquet, csv], path, rolling)
     with pytest.raises(ValueError, match="exactly two"):
         flows.features_by_strategy(spark, [parquet], path, join)
+
+
+def test_csv_is_read_by_its_header(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n1,2\n")
+    assert readers.read_csv(spark, f"{tmp_path}/t.csv", "b int, a int").collect() == [(2, 1)]
+    assert readers.read_csv(spark, f"{tmp_path}/t.csv", "b int").collect() == [(2,)]
+    with pytest.raises(ValueError, match="not in the table: c"):
+        readers.read_csv(spark, f"{tmp_path}/t.csv", "a int, c int")
+
+
+def test_rows_that_do_not_fit_fail_by_default(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n1,2\nx,3\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.read_csv(spark, f"{tmp_path}/t.csv", "a int, b int").collect()
+    loose = readers.read_csv(spark, f"{tmp_path}/t.csv", "a int, b int", "PERMISSIVE")
+    assert loose.collect() == [(1, 2), (None, 3)]
+    with pytest.raises(ValueError, match="mode"):
+        readers.read_csv(spark, f"{tmp_path}/t.csv", "a int", "LOOSE")
+
+
+def test_scratch_folders_must_be_shared_on_a_cluster():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")
