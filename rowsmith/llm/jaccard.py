@@ -32,8 +32,9 @@ from rowsmith.session import scratch_dir
 WIDTH = 5
 SKETCH = 1 << 18
 SKETCH_ROWS = 64
-# Pivots of a column in the first step, on average at most twice as many, and how many of them a
+# First steps, pivots of a column in them (on average at most twice as many), and how many of them a
 # member is compared with at most.
+PIVOT_STEPS = 2
 PIVOTS = 8
 COMPARED = 3
 # Bits of the filter that keeps the sets of classes without partners from being moved.
@@ -379,10 +380,13 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     rest = F.greatest(F.ceil(F.col("nx") * 8 / 10), F.ceil(F.col("ny") * 8 / 10)) - 1
     enough = (F.col("o") + rest) * 180 >= (F.col("nx") + F.col("ny")) * 80
     by_member = Window.partitionBy("x").orderBy(F.desc("o"), "y")
-    best = products(None, 1).filter(enough).withColumn("place", F.row_number().over(by_member))
-    links = written(linked(best.filter(F.col("place") <= COMPARED)), "similar")
-    links = links.union(linked(products(components(links), None).filter(enough)))
-    labels = components(links)
+    links, labels = None, None
+    for seed in range(PIVOT_STEPS):
+        best = products(labels, seed).filter(enough).withColumn("place", F.row_number().over(by_member))
+        found = linked(best.filter(F.col("place") <= COMPARED))
+        links = written(found if links is None else links.union(found), "similar")
+        labels = components(links)
+    labels = components(links.union(linked(products(labels, None).filter(enough))))
 
     least = plain.filter("n > 0").groupBy("c").agg(F.min("id").alias("least"))
     joined = least.join(labels.withColumnRenamed("v", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
