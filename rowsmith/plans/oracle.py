@@ -270,3 +270,31 @@ for _op, _aggregate in (("sum", "SUM"), ("mean", "AVG"), ("min", "MIN"), ("max",
 ORACLE["rolling_sum_wide_decimal"] = _wide("SUM", "CAST(value AS DECIMAL(12,2))", "CAST({} AS DOUBLE)")
 ORACLE["join_suffix_case"] = """SELECT n_regionkey AS region_key, n_name AS nation, r_name AS region
     FROM nation JOIN region ON n_regionkey = r_regionkey"""
+
+_PART = "p_partkey, p_name, p_brand, p_type, p_size, p_retailprice"
+_ROLLED = "ROWS BETWEEN {} PRECEDING AND 1 PRECEDING"
+ORACLE["reduce_groups_arrow"] = ORACLE["map_groups_arrow"]
+ORACLE["scale_or_aggregate_write"] = f"""SELECT {_PART},
+    CAST(SUM(p_size) OVER () AS BIGINT) AS sum_p_size FROM part"""
+ORACLE["flow_filter_group"] = ORACLE["filter_group_sum"]
+ORACLE["flow_rolling_columns"] = f"""SELECT {_PART},
+    CASE WHEN COUNT(p_size) OVER f >= 4 THEN AVG(p_size) OVER f END AS "Rolling_p_size"
+    FROM part WINDOW f AS (ORDER BY p_partkey {_ROLLED.format(4)})"""
+ORACLE["flow_join_tables"] = """SELECT c_custkey, o_orderkey, o_orderstatus, o_totalprice,
+    CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority, c_name, c_nationkey, c_acctbal, c_mktsegment
+    FROM orders JOIN customer ON o_custkey = c_custkey"""
+ORACLE["flow_normalize"] = f"""SELECT {_PART}, (p_size - (SELECT MIN(p_size) FROM part)) /
+    ((SELECT MAX(p_size) FROM part) - (SELECT MIN(p_size) FROM part)) AS p_size_normalize FROM part"""
+ORACLE["flow_rolling_cumulative"] = f"""WITH rolled AS (SELECT {_PART},
+        CASE WHEN COUNT(p_size) OVER f >= 3 THEN SUM(p_size) OVER f END AS r
+        FROM part WINDOW f AS (PARTITION BY p_brand ORDER BY p_partkey {_ROLLED.format(3)}))
+    SELECT {_PART}, CASE WHEN r IS NOT NULL THEN CAST(SUM(r) OVER (PARTITION BY p_brand ORDER BY p_partkey
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) END AS rolling_sum_p_size FROM rolled"""
+ORACLE["flow_feature_bundle"] = f"""SELECT {_PART},
+    CASE WHEN COUNT(p_size) OVER f >= 3 THEN CAST(SUM(p_size) OVER f AS BIGINT) END AS "Rolling_p_size",
+    CAST(SUM(p_size) OVER g AS BIGINT) AS "Acumulacion_p_size",
+    DENSE_RANK() OVER (ORDER BY p_size) AS "Rank_p_size"
+    FROM part WINDOW f AS (ORDER BY p_partkey {_ROLLED.format(3)}),
+    g AS (PARTITION BY p_brand ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+ORACLE["flow_multi_stage"] = """SELECT p_brand, CAST(SUM(p_size) AS BIGINT) AS sum_p_size
+    FROM part WHERE p_name IS NOT NULL GROUP BY p_brand"""

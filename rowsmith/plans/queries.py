@@ -585,8 +585,23 @@ def map_batches_arrow(spark: SparkSession, sf: str) -> DataFrame:
     return arrow_ops.map_batches(data, _doubled, "event_id bigint, cents bigint, doubled bigint")
 
 
+def _mean_of_group(batches):
+    total, rows, user = 0, 0, None
+    for batch in batches:
+        user = batch.column(0)[0].as_py()
+        total += pc.sum(batch.column(1)).as_py()
+        rows += batch.num_rows
+    yield pa.RecordBatch.from_pydict({"user_id": pa.array([user], pa.int64()), "mean_cents": [total / rows]})
+
+
 @query
 def map_groups_arrow(spark: SparkSession, sf: str) -> DataFrame:
+    data = events(spark, sf).select(F.col("user_id").cast("bigint"), "cents")
+    return arrow_ops.map_groups(data, ["user_id"], _mean_of_group, "user_id bigint, mean_cents double")
+
+
+@query
+def reduce_groups_arrow(spark: SparkSession, sf: str) -> DataFrame:
     return arrow_ops.reduce_groups(
         events(spark, sf).select("user_id", "cents"), ["user_id"],
         _partial_sums, _combined_sums, "user_id bigint, total bigint, n bigint",
@@ -655,6 +670,73 @@ def scale_and_write(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def scale_or_aggregate_write(spark: SparkSession, sf: str) -> DataFrame:
+    path = flows.scale_or_aggregate(
+        spark, f"{sf}/part.parquet", _parquet_path(spark, "spread"), ["p_size"], aggregate="sum"
+    )
+    return readers.read_parquet(spark, path)
+
+
+@query
+def flow_filter_group(spark: SparkSession, sf: str) -> DataFrame:
+    path = flows.filter_group(
+        spark, f"{sf}/part.parquet", _parquet_path(spark, "totals"), "p_size", 30, ["p_brand"], "p_size"
+    )
+    return readers.read_parquet(spark, path)
+
+
+@query
+def flow_rolling_columns(spark: SparkSession, sf: str) -> DataFrame:
+    path = flows.rolling_columns(
+        spark, f"{sf}/part.parquet", _parquet_path(spark, "rolled"), ["p_size"], 4, 1, ["p_partkey"]
+    )
+    return readers.read_parquet(spark, path)
+
+
+@query
+def flow_join_tables(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    sources = [writers.write_parquet(orders, _parquet_path(spark, "orders")), f"{sf}/customer.parquet"]
+    joined = readers.read_parquet(
+        spark, flows.join_tables(spark, sources, _parquet_path(spark, "joined"), "c_custkey")
+    )
+    return joined.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
+@query
+def flow_normalize(spark: SparkSession, sf: str) -> DataFrame:
+    path = flows.normalize_column(spark, f"{sf}/part.parquet", _parquet_path(spark, "scaled"), "p_size")
+    return readers.read_parquet(spark, path)
+
+
+@query
+def flow_rolling_cumulative(spark: SparkSession, sf: str) -> DataFrame:
+    path = flows.rolling_cumulative(
+        spark, f"{sf}/part.parquet", _parquet_path(spark, "summed"), "rolling_sum", ["p_size"], [3], [1],
+        ["p_partkey"], ["p_brand"], parts=3, rows_per_file=100_000,
+    )
+    return readers.read_parquet(spark, path)
+
+
+@query
+def flow_feature_bundle(spark: SparkSession, sf: str) -> DataFrame:
+    path = flows.feature_bundle(
+        spark, f"{sf}/part.parquet", _parquet_path(spark, "bundle"), ["p_size"], [3], [1], "dense",
+        ["p_partkey"], ["p_brand"],
+    )
+    return readers.read_parquet(spark, path)
+
+
+@query
+def flow_multi_stage(spark: SparkSession, sf: str) -> DataFrame:
+    path = flows.multi_stage(
+        spark, f"{sf}/part.parquet", _parquet_path(spark, "stages"), "p_name", Rolling("p_size", 4), ["p_brand"],
+        ["p_partkey"], ["p_brand"], "p_size", "sum",
+    )
+    return readers.read_parquet(spark, path)
+
+
 @query
 def label_join_write(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
