@@ -1,18 +1,18 @@
 """Quality classification by importance resampling.
 
 Two generative models of hashed n-grams are compared: one of the target text (documents labelled
-good and not toxic) and one of the raw text (all documents). The log ratio of both, summed over a
-document, is its log weight. Documents are drawn without replacement by weight: a Gumbel number is
-added to each log weight, and the k largest stay (Gumbel top-k). k is the number of documents above
-a bound on the log weight that separates the labelled good and bad documents best.
-
-* An n-gram's log ratio is smoothed towards 0 by SMOOTH occurrences, so that rare n-grams say
-  nothing, and taken relative to the ratio of the median n-gram; only what goes beyond NOISE of it
-  counts. So the length of a text alone says nothing.
-* Counts cover all documents: each task adds up BUCKETS numbers, which are then added by bucket.
-  The driver gets BUCKETS rows at any size.
-* Labels come from at most MAX_LABELS rows (those with the smallest hashes); that bounds what is
-  broadcast.
+good and not toxic) and one of the raw text (all labelled documents). The log ratio of both, summed
+over a document, is its log weight. Documents are drawn without replacement by weight: a Gumbel number
+is added to each log weight, and the k largest of all documents stay (Gumbel top-k). k is the number
+of documents above a bound on the log weight that separates labelled good and bad documents best.
+
+* The models count the documents that have an n-gram, so a text that repeats itself counts once. The
+  log ratio is smoothed towards 0 by SMOOTH documents, so that rare n-grams say nothing, and taken
+  relative to the ratio of the median n-gram; only what goes beyond NOISE of it counts. So the length
+  of a text alone says nothing.
+* The models are fitted on at most MAX_LABELS labelled documents (those with the smallest hashes),
+  which bounds what is broadcast. The driver gets BUCKETS rows at most. Weights, k and the cut cover
+  all documents.
 * The k-th largest value is found by counting values in bins and narrowing the bin.
 """
 
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from rowsmith.llm.text import LOWER, Words, mix, slices
 from rowsmith.session import scratch_dir
 
-BUCKETS = 1 << 19
-SMOOTH = 25.0
+BUCKETS = 1 << 22
+SMOOTH = 5.0
 NOISE = 1.0
 MAX_LABELS = 200_000
 BINS = 4_096
@@ -73,20 +73,24 @@ def ngrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    """How many documents, and how many of the target, have each n-gram."""
     for batch in slices(batches, 0):
         bucket, row, _ = ngrams(batch.column(0))
-        good = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-        total += np.bincount(bucket, minlength=BUCKETS)
-        target += np.bincount(bucket[good[row]], minlength=BUCKETS)
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(at, pa.int32()), pa.array(total[at]), pa.array(target[at])], names=["bucket", "total", "target"]
-    )
+        pair = np.unique(bucket * batch.num_rows + row)
+        bucket, row = pair // batch.num_rows, pair % batch.num_rows
+        good = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)[row]
+        if not len(bucket):
+            continue
+        at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        target = np.add.reduceat(good.astype(np.int64), at)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket[at], pa.int32()), pa.array(np.diff(np.r_[at, len(bucket)])), pa.array(target)],
+            names=["bucket", "total", "target"],
+        )
 
 
 def log_ratios(total: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Evidence of each bucket for the target text, from its occurrences in all and in target text."""
+    """Evidence of each bucket for the target text, from the raw and the target documents that have it."""
     if not target.sum():
         return np.zeros(len(total))
     due = total * (target.sum() / total.sum())
@@ -94,7 +98,7 @@ def log_ratios(total: np.ndarray, target: np.ndarray) -> np.ndarray:
     order = np.argsort(ratio)
     middle = ratio[order[np.searchsorted(np.cumsum(total[order]), total.sum() / 2)]]
     ratio -= middle
-    return np.sign(ratio) * np.maximum(np.abs(ratio) - NOISE, 0.0)
+    return np.where(total > 0, np.sign(ratio) * np.maximum(np.abs(ratio) - NOISE, 0.0), 0.0)
 
 
 def _scorer(sent) -> Callable[[pa.Array], np.ndarray]:
@@ -168,9 +172,9 @@ class Sampler:
         known = known.withColumn("__good", (F.col("quality") == 1) & (F.col("toxic") == 0))
         known = known.select("__id", "__good").orderBy(F.xxhash64("__id"), "__id").limit(MAX_LABELS)
         rows = docs.select(F.col(id_column).alias("__id"), F.col(text).cast("string").alias("__text"))
-        marked = rows.join(F.broadcast(known), "__id", "left")
+        marked = rows.join(F.broadcast(known), "__id")
         counted = (
-            marked.select("__text", F.coalesce("__good", F.lit(False)).alias("target"))
+            marked.select("__text", F.col("__good").alias("target"))
             .mapInArrow(_count, "bucket int, total bigint, target bigint")
             .groupBy("bucket")
             .agg(F.sum("total").alias("total"), F.sum("target").alias("target"))
@@ -179,7 +183,7 @@ class Sampler:
         total, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
         at = counted["bucket"].to_numpy()
         total[at], target[at] = counted["total"].to_numpy(), counted["target"].to_numpy()
-        self.sent = spark.sparkContext.broadcast(log_ratios(total, target))
+        self.sent = spark.sparkContext.broadcast(log_ratios(total, target).astype(np.float32))
         path = scratch_dir(spark, "weights")
         self.weighed(docs).write.parquet(path)
         self.weights = spark.read.parquet(path)
