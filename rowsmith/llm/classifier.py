@@ -10,8 +10,8 @@ of documents above a bound on the log weight that separates labelled good and ba
   log ratio is smoothed towards 0 by SMOOTH documents, so that rare n-grams say nothing, and taken
   relative to the ratio of the median n-gram; only what goes beyond NOISE of it counts. So the length
   of a text alone says nothing.
-* The models are fitted on at most MAX_LABELS labelled documents (those with the smallest hashes),
-  which bounds what is broadcast. The driver gets BUCKETS rows at most. Weights, k and the cut cover
+* The models are fitted on about MAX_LABELS labelled documents at most, chosen by hash, which bounds
+  what is broadcast. The driver gets BUCKETS rows at most. Weights, k and the cut cover
   all documents.
 * The k-th largest value is found by counting values in bins and narrowing the bin.
 """
@@ -170,7 +170,9 @@ class Sampler:
         ).dropna()
         known = known.groupBy("__id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
         known = known.withColumn("__good", (F.col("quality") == 1) & (F.col("toxic") == 0))
-        known = known.select("__id", "__good").orderBy(F.xxhash64("__id"), "__id").limit(MAX_LABELS)
+        known = known.select("__id", "__good")
+        share = (MAX_LABELS << 20) // max(known.count(), 1)
+        known = known.filter(F.pmod(F.xxhash64("__id"), F.lit(1 << 20)) < share)
         rows = docs.select(F.col(id_column).alias("__id"), F.col(text).cast("string").alias("__text"))
         marked = rows.join(F.broadcast(known), "__id")
         counted = (
