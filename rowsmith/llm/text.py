@@ -144,11 +144,6 @@ def windows(hashes: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray
     return mix(value)[first], first
 
 
-def sums(values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-    """Sum of the values of each text."""
-    return np.bincount(row, weights=values, minlength=rows)
-
-
 def code_points(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray | None = None) -> np.ndarray:
     """Code points of each text, or of its bytes that are kept."""
     lead = (data & 0xC0) != 0x80
