@@ -13,6 +13,7 @@ sees (languages x vocabulary) rows, whatever the input. Prediction is a second p
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterable, Iterator
 
@@ -21,15 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.text import Words, mix, powers, remainder, slices
+from rowsmith.llm.text import Words, mix, remainder, slices
 
 MAX_PIECE = 8
-# Longer words are cut every so many characters before they are segmented.
-MAX_WORD = 48
 # Words whose probabilities a task remembers.
 KNOWN_WORDS = 500_000
 # Words segmented at once.
 WORDS_AT_ONCE = 16_384
+# Characters of so many words, if the longest has more than a few.
+CELLS = 1 << 20
+# Every RESCALE positions, probabilities below SMALL are scaled up.
+RESCALE = 8
+SMALL = 1e-100
 UNKNOWN_CHAR = 1e-7
 UND = "und"
 
@@ -50,35 +54,37 @@ def vocabulary_pieces(model_path: str) -> list[str]:
 
 
 class Pieces:
-    """Piece numbers of substrings, by a rolling hash and an open-addressed table."""
+    """Numbers of pieces, and which strings begin one, by a rolling hash and an open-addressed table."""
 
     def __init__(self, pieces: list[str]):
         self.n = len(pieces)
         self.lengths = np.array([len(p) for p in pieces])
-        keys = np.array([self._hash(p) for p in pieces], np.uint64)
-        bits = max(4, int(np.ceil(np.log2(max(1, self.n) * 4))))
+        self.longest = max(map(len, pieces), default=1)
+        known: dict[int, int] = {}
+        for i, piece in enumerate(pieces):
+            value = 0
+            for c in piece:
+                value = (value * _BASE + ord(c) + 1) % (1 << 64)
+                known.setdefault(value, self.n)  # n: only the beginning of a piece
+            known[value] = i
+        keys = np.array(list(known), np.uint64)
+        bits = max(4, int(np.ceil(np.log2(max(1, len(known)) * 4))))
         self.shift = np.uint64(64 - bits)
         self.keys = np.zeros(1 << bits, np.uint64)
         self.ids = np.full(1 << bits, -1, np.int32)
         self.reach = 1
         slots = (mix(keys) >> self.shift).astype(np.int64)
-        for i, (key, slot) in enumerate(zip(keys, slots.tolist(), strict=True)):
+        for i, key, slot in zip(known.values(), keys, slots.tolist(), strict=True):
             step = 1
             while self.ids[slot] >= 0:
                 slot, step = (slot + 1) % len(self.ids), step + 1
             self.keys[slot], self.ids[slot] = key, i
             self.reach = max(self.reach, step)
 
-    @staticmethod
-    def _hash(piece: str) -> int:
-        value = 0
-        for c in piece:
-            value = (value * _BASE + ord(c) + 1) % (1 << 64)
-        return value
-
     def find(self, keys: np.ndarray) -> np.ndarray:
+        """The piece's number, n for what only begins one, -1 for anything else."""
         slot = (mix(keys) >> self.shift).astype(np.int64)
-        found = np.where(self.keys[slot] == keys, self.ids[slot], -1)
+        found = np.where((self.ids[slot] >= 0) & (self.keys[slot] == keys), self.ids[slot], -1)
         for _ in range(self.reach - 1):
             if not ((found < 0) & (self.ids[slot] >= 0)).any():
                 break
@@ -93,32 +99,36 @@ class Pieces:
         first.
         """
         length = np.array([len(w) for w in words])
-        wide = int(length.max())
-        chars = np.zeros((len(words), wide), np.uint64)
-        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        chars[np.arange(wide) < length[:, None]] = flat.astype(np.uint64) + np.uint64(1)
-        power = powers(_BASE, MAX_PIECE + 1)
-        prefix = np.zeros((wide + 1, len(words)), np.uint64)
-        edges = []
-        with np.errstate(over="ignore"):
-            for t in range(1, wide + 1):
-                prefix[t] = prefix[t - 1] * power[1] + chars[:, t - 1]
-                alive = int(np.searchsorted(-length, -t, "right"))
-                here = []
-                for size in range(1, min(t, MAX_PIECE) + 1):
-                    ids = self.find(prefix[t, :alive] - prefix[t - size, :alive] * power[size])
-                    if size == 1:
-                        here.append((1, np.arange(alive), np.where(ids < 0, self.n, ids)))
-                    else:
-                        at = np.flatnonzero(ids >= 0)
-                        if len(at):
-                            here.append((size, at, ids[at]))
-                edges.append(here)
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        chars += np.uint64(1)
+        begin = np.cumsum(length) - length
+        word = np.repeat(np.arange(len(words)), length)
+        within = np.arange(len(chars)) - begin[word]
+        left = length[word] - within
+        edges: list = [[] for _ in range(int(length.max()))]
+        at, keys = np.arange(len(chars)), np.zeros(len(chars), np.uint64)
+        for size in range(1, self.longest + 1):
+            if size > 1:  # only what is the beginning of a longer piece goes on
+                go = (ids >= 0) & (left[at] >= size)
+                at, keys = at[go], keys[go]
+            if not len(at):
+                break
+            with np.errstate(over="ignore"):
+                keys = keys * np.uint64(_BASE) + chars[at + size - 1]
+            ids = self.find(keys)
+            here = np.arange(len(at)) if size == 1 else np.flatnonzero((ids >= 0) & (ids < self.n))
+            found = np.where(ids[here] < 0, self.n, ids[here])
+            end = within[at[here]] + size
+            order = np.argsort(end.astype(np.uint16) if len(edges) < 65536 else end, kind="stable")
+            where, found, end = word[at[here[order]]], found[order], end[order]
+            cuts = np.flatnonzero(np.r_[True, end[1:] != end[:-1]]) if len(end) else np.zeros(0, np.int64)
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(end)], strict=True) if len(cuts) else ():
+                edges[end[a] - 1].append((size, where[a:b], found[a:b]))
         return edges, length
 
 
 def forward(edges: list, length: np.ndarray, chance: np.ndarray) -> np.ndarray:
-    """Summed probability of all segmentations up to each position: position, word, model."""
+    """Summed probability of all segmentations up to each position: position, word, model. For short words."""
     alpha = np.zeros((len(edges) + 1, len(length), chance.shape[1]))
     alpha[0] = 1.0
     for t, here in enumerate(edges, 1):
@@ -127,21 +137,60 @@ def forward(edges: list, length: np.ndarray, chance: np.ndarray) -> np.ndarray:
     return alpha
 
 
+def log_totals(edges: list, length: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """Log of the summed probability of all segmentations of each word, of any length: word, model.
+
+    Only the positions that the longest piece spans are kept; they are scaled up together where the
+    probabilities become small.
+    """
+    n, models = len(length), chance.shape[1]
+    span = 1 + max(size for here in edges for size, _, _ in here)
+    alpha = np.zeros((span, n, models))
+    alpha[0] = 1.0
+    scale, out = np.zeros((n, models)), np.zeros((n, models))
+    for t, here in enumerate(edges, 1):
+        now, alive = alpha[t % span], len(here[0][1])
+        now[:alive] = 0.0
+        for size, at, ids in here:
+            now[at] += alpha[(t - size) % span, at] * chance[ids]
+        if t % RESCALE == 0:
+            low = np.flatnonzero((now[:alive] < SMALL).any(axis=1))
+            if len(low):
+                top = now[low]
+                scale[low] += np.log(top)
+                alpha[:, low] /= top
+        after = len(edges[t][0][1]) if t < len(edges) else 0
+        if after < alive:
+            out[after:alive] = np.log(now[after:alive]) + scale[after:alive]
+    return out
+
+
 def expected(edges: list, length: np.ndarray, chance: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece, for each column of ``counts`` (uses of the words), under one model."""
-    alpha = forward(edges, length, chance[:, None])[:, :, 0]
+    """Expected uses of each piece, for each column of ``counts`` (uses of the words), under one model.
+
+    Forward and backward sums are kept as logs, so words may have any length.
+    """
+    logs = np.log(chance)
     n = len(length)
-    total = alpha[length, np.arange(n)]
-    beta = np.zeros((len(edges) + 1, n))
-    beta[length, np.arange(n)] = 1.0 / total
-    out = np.zeros((len(chance), counts.shape[1]))
+    alpha = np.full((len(edges) + 1, n), -np.inf)
+    alpha[0] = 0.0
+    for t, here in enumerate(edges, 1):
+        for size, at, ids in here:
+            alpha[t, at] = np.logaddexp(alpha[t, at], alpha[t - size, at] + logs[ids])
+    beta = np.full((len(edges) + 1, n), -np.inf)
+    beta[length, np.arange(n)] = -alpha[length, np.arange(n)]
+    words, pieces, flows = [], [], []
     for t in range(len(edges), 0, -1):
         for size, at, ids in edges[t - 1]:
-            flow = beta[t, at] * chance[ids]
-            beta[t - size, at] += flow
-            flow = flow * alpha[t - size, at]
-            for k in range(counts.shape[1]):
-                out[:, k] += np.bincount(ids, flow * counts[at, k], minlength=len(chance))
+            flow = beta[t, at] + logs[ids]
+            beta[t - size, at] = np.logaddexp(beta[t - size, at], flow)
+            words.append(at)
+            pieces.append(ids)
+            flows.append(flow + alpha[t - size, at])
+    word, piece, flow = np.concatenate(words), np.concatenate(pieces), np.exp(np.concatenate(flows))
+    out = np.zeros((len(chance), counts.shape[1]))
+    for k in range(counts.shape[1]):
+        out[:, k] = np.bincount(piece, flow * counts[word, k], minlength=len(chance))
     return out
 
 
@@ -151,10 +200,14 @@ def start_weights(lengths: np.ndarray) -> np.ndarray:
     return weight
 
 
-def cut(word: str) -> list[str]:
-    """A word as it is segmented: marked at its start, lower case, in runs of MAX_WORD characters."""
-    word = "▁" + word.lower()
-    return [word[i : i + MAX_WORD] for i in range(0, len(word), MAX_WORD)] if len(word) > MAX_WORD else [word]
+def marked(word: str) -> str:
+    """A word as it is segmented: marked at its start, lower case."""
+    return "▁" + word.lower()
+
+
+@functools.lru_cache(1)
+def pieces_of(model_path: str) -> Pieces:
+    return Pieces(vocabulary_pieces(model_path))
 
 
 def _distinct(words: Words, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,9 +216,13 @@ def _distinct(words: Words, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _by_length(runs: list[str]) -> Iterator[np.ndarray]:
+    """Numbers of the words, longest first, in parts of WORDS_AT_ONCE words or, if long, CELLS characters."""
     order = np.argsort([-len(r) for r in runs], kind="stable")
-    for i in range(0, len(order), WORDS_AT_ONCE):
-        yield order[i : i + WORDS_AT_ONCE]
+    i = 0
+    while i < len(order):
+        n = min(WORDS_AT_ONCE, max(1, CELLS // len(runs[order[i]])))
+        yield order[i : i + n]
+        i += n
 
 
 def learn(train: DataFrame, model_path: str) -> tuple[list[str], np.ndarray]:
@@ -175,7 +232,7 @@ def learn(train: DataFrame, model_path: str) -> tuple[list[str], np.ndarray]:
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(vocabulary_pieces(model_path))
+        pieces = pieces_of(model_path)
         start = start_weights(pieces.lengths)
         total: dict[str, np.ndarray] = {}
         for batch in slices(batches, 0):
@@ -188,15 +245,10 @@ def learn(train: DataFrame, model_path: str) -> tuple[list[str], np.ndarray]:
             _, first, which = _distinct(words, words.hashes())
             uses = np.zeros((len(first), len(langs)))
             np.add.at(uses, (which, lang), 1)
-            runs, owner = [], []
-            for k, i in enumerate(first.tolist()):
-                for run in cut(words.word(i)):
-                    runs.append(run)
-                    owner.append(k)
-            owner = np.array(owner)
+            runs = [marked(words.word(i)) for i in first.tolist()]
             for at in _by_length(runs):
                 edges, length = pieces.lattice([runs[i] for i in at.tolist()])
-                found = expected(edges, length, start, uses[owner[at]])
+                found = expected(edges, length, start, uses[at])
                 for k, name in enumerate(langs):
                     total[name] = total.get(name, 0) + found[:, k]
         for name, values in total.items():
@@ -219,7 +271,9 @@ def learn(train: DataFrame, model_path: str) -> tuple[list[str], np.ndarray]:
     for lang, piece, value in rows:
         uses[piece, langs.index(lang)] += value
     if langs:
-        uses[n - 1] = UNKNOWN_CHAR * uses[:-1].sum(axis=0)  # one rate for all languages
+        least = UNKNOWN_CHAR * uses[:-1].sum(axis=0)  # one rate for all languages
+        uses = np.maximum(uses, least)
+        uses[n - 1] = least
         uses = uses / uses.sum(axis=0)
     return langs, uses
 
@@ -249,7 +303,7 @@ def identify(
     sent = docs.sparkSession.sparkContext.broadcast(chance)
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(vocabulary_pieces(model_path)) if langs else None
+        pieces = pieces_of(model_path) if langs else None
         chance = sent.value
         known = np.zeros(0, np.uint64)
         logs = np.zeros((0, len(langs)))
@@ -265,17 +319,11 @@ def identify(
                 value = np.zeros((len(keys), len(langs)))
                 if len(known):
                     value[~new] = logs[at[~new]]
-                runs, owner = [], []
-                for k in np.flatnonzero(new).tolist():
-                    for run in cut(words.word(first[k])):
-                        runs.append(run)
-                        owner.append(k)
-                owner = np.array(owner, np.int64)
+                owner = np.flatnonzero(new)
+                runs = [marked(words.word(i)) for i in first[owner].tolist()]
                 for some in _by_length(runs):
                     edges, length = pieces.lattice([runs[i] for i in some.tolist()])
-                    alpha = forward(edges, length, chance)
-                    found = np.log(alpha[length, np.arange(len(length))])
-                    np.add.at(value, owner[some], found)
+                    value[owner[some]] = log_totals(edges, length, chance)
                 for k in range(len(langs)):
                     total[:, k] = np.bincount(words.row, value[which, k], minlength=words.rows)
                 if len(known) + int(new.sum()) > KNOWN_WORDS:

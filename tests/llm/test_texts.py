@@ -137,6 +137,23 @@ def test_language_of_held_out_texts(spark, nothing):
     assert langid.identify(empty, PIECES).collect() == []
 
 
+def test_long_runs_of_unknown_and_unseen_characters(spark):
+    table = langid.pieces_of(PIECES)
+    start = langid.start_weights(table.lengths)
+    words = sorted(("▁" + c * n for c in ("\U0001f973", "ж") for n in (3, 48, 2_000)), key=len, reverse=True)
+    edges, length = table.lattice(words)
+    uses = langid.expected(edges, length, start, np.ones((len(words), 1)))
+    covered = (uses[:-1, 0] * table.lengths).sum() + uses[-1, 0]
+    assert math.isclose(covered, sum(map(len, words)), rel_tol=1e-9)
+    assert np.isfinite(langid.log_totals(edges, length, np.stack([start, start], axis=1))).all()
+    docs = [(i, ("the house and the water " if i % 2 else "der haus und das wasser ") * 9, "de" if i % 2 == 0 else "en") for i in range(60)]
+    odd = " ".join(c * 48 for c in ("\U0001f973", "\ue000", "ж"))
+    docs += [(100 + i, docs[i][1] + odd, docs[i][2]) for i in range(20)]
+    found = langid.identify(spark.createDataFrame(docs, "doc_id bigint, text string, lang string"), PIECES).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {d: lang for d, _, lang in docs}
+    assert all(0 < r.score <= 1 for r in found)
+
+
 def test_base_scores_equal_brute_force(messy, nothing):
     got = sorted((tuple(r)[:6] for r in lm.score(messy, BPE).collect()), key=str)
     want = sorted(base_scores([(d, t) for d, t, *_ in rows()]), key=str)
