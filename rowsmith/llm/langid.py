@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from rowsmith.llm.text import Words, mix, remainder, slices
 
-MAX_PIECE = 8
 # Words whose probabilities a task remembers.
 KNOWN_WORDS = 500_000
 # Words segmented at once.
@@ -42,7 +41,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 
 
 def vocabulary_pieces(model_path: str) -> list[str]:
-    """The ordinary pieces of a sentencepiece model, lower case, up to MAX_PIECE characters, in order."""
+    """The ordinary pieces of a sentencepiece model, lower case, in order."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
@@ -50,7 +49,7 @@ def vocabulary_pieces(model_path: str) -> list[str]:
     for i in range(model.get_piece_size()):
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)):
             found.setdefault(model.id_to_piece(i).lower())
-    return [p for p in found if 0 < len(p) <= MAX_PIECE]
+    return [p for p in found if p]
 
 
 class Pieces:

@@ -154,6 +154,28 @@ def test_long_runs_of_unknown_and_unseen_characters(spark):
     assert all(0 < r.score <= 1 for r in found)
 
 
+def test_all_pieces_and_whole_words_are_segmented():
+    pieces = langid.vocabulary_pieces(PIECES)
+    assert max(map(len, pieces)) > 8
+    table = langid.pieces_of(PIECES)
+    longest = max(pieces, key=len)
+    words = sorted([longest * 9, "▁donaudampfschifffahrtsgesellschaft", "▁a"], key=len, reverse=True)
+    edges, length = table.lattice(words)
+    at = {(t, size, w, p) for t, here in enumerate(edges, 1) for size, ws, ps in here for w, p in zip(ws, ps, strict=True)}
+    number = {p: i for i, p in enumerate(pieces)}
+    want = set()
+    for w, word in enumerate(words):
+        for i in range(len(word)):
+            for j in range(i + 1, min(len(word), i + table.longest) + 1):
+                if word[i:j] in number or j == i + 1:
+                    want.add((j, j - i, w, number.get(word[i:j], table.n)))
+    assert at == want
+    chance = langid.start_weights(table.lengths)[:, None]
+    alpha = langid.forward(edges, length, chance)
+    plain = np.log(alpha[length, np.arange(len(words)), 0])
+    assert np.allclose(langid.log_totals(edges, length, chance)[:, 0], plain)
+
+
 def test_base_scores_equal_brute_force(messy, nothing):
     got = sorted((tuple(r)[:6] for r in lm.score(messy, BPE).collect()), key=str)
     want = sorted(base_scores([(d, t) for d, t, *_ in rows()]), key=str)
