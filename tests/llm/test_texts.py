@@ -234,6 +234,17 @@ def test_the_model_learns_order(spark, monkeypatch):
     assert sum(r.score for r in found) > 0.85 * sum(r.base_score for r in found)
 
 
+def test_all_words_and_ends_are_trained_on():
+    vocabulary = lm.Vocabulary(np.zeros(60_000), np.zeros(60_000))
+    vocabulary.cls = np.arange(60_000) % lm.END_CLASS
+    texts = [f"same start {i} " + "word " * (i % 60) for i in range(50)] + ["", None]
+    classes, begin = lm._train_runs(pa.array(texts), lm.Speller(BPE), vocabulary)
+    assert len(classes) == sum(len((t or "").split()) + 1 for t in texts)
+    assert (classes[begin[1:] - 1] == lm.END_CLASS).sum() == len(texts)
+    _, _, place = lm.frames(classes, begin)
+    assert sorted(place[place >= 0].tolist()) == list(range(len(classes)))
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header class="site"><a href="/">Home</a></header><nav><ul><li><a href=/a>A</a><li>B</ul></nav>
 <div class="cookie-notice">We use cookies</div><!-- ad --><div class="ad">Buy <b>this</b></div>
