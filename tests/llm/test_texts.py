@@ -245,6 +245,15 @@ def test_all_words_and_ends_are_trained_on():
     assert sorted(place[place >= 0].tolist()) == list(range(len(classes)))
 
 
+def test_scores_use_the_counts_of_all_words(messy, monkeypatch):
+    def found():
+        return sorted(((r.doc_id or 0, r.n_tokens, r.n_known, r.base_score, r.score) for r in lm.score(messy, BPE).collect()))
+
+    want = found()
+    monkeypatch.setattr(lm, "FREQUENT", 5)
+    assert np.allclose(found(), want, rtol=1e-4)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header class="site"><a href="/">Home</a></header><nav><ul><li><a href=/a>A</a><li>B</ul></nav>
 <div class="cookie-notice">We use cookies</div><!-- ad --><div class="ad">Buy <b>this</b></div>
