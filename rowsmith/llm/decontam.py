@@ -6,7 +6,9 @@ between documents and benchmark items. For each document and item, the windows o
 distance of both positions, SHIFT words more or less) are one match; it counts if it covers COVERED of
 the item and if its slots are consistent: what stands in an item's slots must map to one value each
 in the document. So a question with other numbers or names is found too, and a text that has only
-its frame words in common is not.
+its frame words in common is not. Each text has a second form, in which names stay plain words; it
+doesn't depend on letter case, so that copies in other case are found. A pair counts if either form
+matches.
 
 Windows without WORDS_AT_LEAST plain words are not joined. Items shorter than a window are one window
 of their own length. Document windows are first held against a bit set of the benchmark's windows
@@ -18,10 +20,12 @@ group.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,13 +55,19 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _WORDS = np.where(_LETTER, LOWER, ord(" ")).astype(np.uint8)
 NUMBER, NAME, UNIT = 1, 2, 3
+FORMS = (0, 1)
 
 
 class Template:
-    """Template words of all texts: hash with placeholders, kind (0 plain) and hash of what is there."""
+    """Template words of all texts: hash with placeholders, kind (0 plain) and hash of what is there.
+
+    Of the two FORMS, the first has names as placeholders. In the second, they are plain words, so that
+    it doesn't depend on letter case.
+    """
 
     def __init__(self, texts: pa.Array):
-        data, offsets = raw(texts)
+        written, written_offsets = raw(texts)
+        data, offsets = raw(pc.utf8_lower(texts.cast(pa.string())))
         plain = _WORDS[data]
         if len(data) > 2:  # points inside numbers belong to them
             point = np.isin(data[1:-1], np.frombuffer(b".,:/", np.uint8)) & _DIGIT[data[:-2]] & _DIGIT[data[2:]]
@@ -66,20 +76,28 @@ class Template:
         words.take(plain, offsets)
         self.row, self.rows = words.row, words.rows
         self.value = words.hashes()
-        first = data[words.starts]
+        starts = words.starts
+        if not np.array_equal(written & 0xC0 == 0x80, data & 0xC0 == 0x80):  # lower case has other lengths
+            other = Words.__new__(Words)
+            other.take(_WORDS[written], written_offsets)
+            starts = other.starts if len(other) == len(words) else starts
+        first = written[np.minimum(starts, len(written) - 1)] if len(words) else np.zeros(0, np.uint8)
         digit = np.add.reduceat(_DIGIT[data] & words.solid, words.starts) > 0 if len(words) else np.zeros(0, bool)
         capital = (first >= 65) & (first <= 90)
-        if len(data) > 1:
-            second = data[np.minimum(words.starts + 1, len(data) - 1)]
+        if len(written) > 1:
+            second = written[np.minimum(starts + 1, len(written) - 1)]
             capital |= (first == 0xC3) & (second >= 0x80) & (second <= 0x9E)
-        self.kind = np.where(digit, NUMBER, np.where(np.isin(self.value, _unit_hashes()), UNIT, np.where(capital, NAME, 0)))
-        self.hash = np.where(self.kind > 0, mix(self.kind.astype(np.uint64) + np.uint64(1 << 50)), self.value)
+        fixed = np.where(digit, NUMBER, np.where(np.isin(self.value, _unit_hashes()), UNIT, 0))
+        self.kinds = np.where((fixed == 0) & capital, NAME, fixed), fixed
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, width: int, form: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash and first word of the windows with enough plain words."""
-        value, first = windows(self.hash, self.row, width)
-        plain = np.r_[0, np.cumsum(self.kind == 0)]
+        kind = self.kinds[form]
+        words = np.where(kind > 0, mix(kind.astype(np.uint64) + np.uint64(1 << 50)), self.value)
+        value, first = windows(words, self.row, width)
+        plain = np.r_[0, np.cumsum(kind == 0)]
         keep = 2 * (plain[first + width] - plain[first]) >= min(width, 2 * WORDS_AT_LEAST)
+        value = value ^ mix(np.full(len(value), width + (form << 32), np.uint64))
         return value[keep], first[keep]
 
 
@@ -87,10 +105,10 @@ def _unit_hashes() -> np.ndarray:
     return Words(pa.array(UNITS)).hashes()
 
 
-def _slots(t: Template, first: np.ndarray, width: int) -> list[list[int]]:
+def _slots(t: Template, first: np.ndarray, width: int, form: int) -> list[list[int]]:
     """Values in the slots of windows, 0 for plain words."""
     at = first[:, None] + np.arange(width)
-    return np.where(t.kind[at] > 0, t.value[at], np.uint64(0)).view(np.int64).tolist()
+    return np.where(t.kinds[form][at] > 0, t.value[at], np.uint64(0)).view(np.int64).tolist()
 
 
 def _item_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,27 +116,29 @@ def _item_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         t = Template(batch.column(1))
         n = np.bincount(t.row, minlength=t.rows)
         item = batch.column(0).to_pylist()
-        columns: list[list] = [[], [], [], [], [], []]
+        columns: list[list] = [[], [], [], [], [], [], []]
         for width in sorted(set(np.minimum(n, WINDOW).tolist()) - {0}):
-            value, first = t.windows(width)
-            mine = np.minimum(n, WINDOW)[t.row[first]] == width
-            value, first = value[mine], first[mine]
-            row = t.row[first]
-            begin = np.searchsorted(t.row, row)
-            columns[0] += (value ^ mix(np.full(len(value), width, np.uint64))).view(np.int64).tolist()
-            columns[1] += [item[i] for i in row.tolist()]
-            columns[2] += (first - begin).tolist()
-            columns[3] += n[row].tolist()
-            columns[4] += [width] * len(first)
-            columns[5] += _slots(t, first, width)
+            for form in FORMS:
+                value, first = t.windows(width, form)
+                mine = np.minimum(n, WINDOW)[t.row[first]] == width
+                value, first = value[mine], first[mine]
+                row = t.row[first]
+                begin = np.searchsorted(t.row, row)
+                columns[0] += value.view(np.int64).tolist()
+                columns[1] += [item[i] for i in row.tolist()]
+                columns[2] += (first - begin).tolist()
+                columns[3] += n[row].tolist()
+                columns[4] += [width] * len(first)
+                columns[5] += [form] * len(first)
+                columns[6] += _slots(t, first, width, form)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(columns[0], pa.int64()),
                 pa.array(columns[1], batch.schema.field(0).type),
-                *(pa.array(c, pa.int32()) for c in columns[2:5]),
-                pa.array(columns[5], pa.list_(pa.int64())),
+                *(pa.array(c, pa.int32()) for c in columns[2:6]),
+                pa.array(columns[6], pa.list_(pa.int64())),
             ],
-            names=["h", "item", "item_pos", "item_words", "width", "item_slots"],
+            names=["h", "item", "item_pos", "item_words", "width", "form", "item_slots"],
         )
 
 
@@ -164,7 +184,7 @@ def contaminated(
     items = benchmark.select(F.col(item_column).alias("item"), F.col(item_text).cast("string").alias("text"))
     kind, item_kind = (df.schema[c].dataType.simpleString() for df, c in ((docs, id_column), (items, "item")))
     known = items.mapInArrow(
-        _item_windows, f"h bigint, item {item_kind}, item_pos int, item_words int, width int, item_slots array<bigint>"
+        _item_windows, f"h bigint, item {item_kind}, item_pos int, item_words int, width int, form int, item_slots array<bigint>"
     )
     shift = 64 - (FILTER_BITS.bit_length() - 1)
     words = (
@@ -182,9 +202,8 @@ def contaminated(
     def candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
             t = Template(batch.column(2))
-            for width in widths:
-                value, first = t.windows(width)
-                value = value ^ mix(np.full(len(value), width, np.uint64))
+            for width, form in itertools.product(widths, FORMS):
+                value, first = t.windows(width, form)
                 slot = (value >> np.uint64(shift)).astype(np.int64)
                 hit = ((sent.value[slot >> 6] >> (slot & 63)) & 1).astype(bool)
                 if not hit.any():
@@ -197,7 +216,7 @@ def contaminated(
                         batch.column(0).take(pa.array(row)),
                         batch.column(1).take(pa.array(row)),
                         pa.array((first - np.searchsorted(t.row, row)).astype(np.int32)),
-                        pa.array(_slots(t, first, width), pa.list_(pa.int64())),
+                        pa.array(_slots(t, first, width, form), pa.list_(pa.int64())),
                     ],
                     names=["h", "id", "row_key", "pos", "slots"],
                 )
@@ -211,14 +230,18 @@ def contaminated(
     joined = found.join(known, "h")
     pairs = joined.groupBy("id", "row_key", "item").agg(
         F.max("item_words").alias("item_words"),
-        F.collect_set(F.struct("pos", "item_pos", "slots", "item_slots")).alias("found"),
+        F.collect_set(F.struct("form", "pos", "item_pos", "slots", "item_slots")).alias("found"),
     )
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = batch.column(3).to_pylist()
-            best = [_match(x) for x in batch.column(4).to_pylist()]
-            keep = [b[0] >= COVERED * n and b[2] >= CONSISTENT for b, n in zip(best, size, strict=True)]
+            best, keep = [], []
+            for n, x in zip(size, batch.column(4).to_pylist(), strict=True):
+                found = [_match([y for y in x if y["form"] == form]) for form in {y["form"] for y in x}]
+                good = [b for b in found if b[0] >= COVERED * n and b[2] >= CONSISTENT]
+                best.append(max(good or found))
+                keep.append(bool(good))
             out = pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:3],

@@ -112,6 +112,14 @@ def test_benchmark_items_and_their_variants(spark, messy):
     assert sorted(r.doc_id for r in decontam.clean(frame, items).collect()) == [3, 4, 5]
 
 
+def test_copies_in_other_letter_case(spark):
+    text = "In Paris Élodie Müller sold 12 old books to Ann Lee. Then Bob went home. She gave the rest to Tom in Rome"
+    items = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    docs = [(1, text.lower()), (2, text.upper()), (3, text.title()), (4, PROSE.upper()), (5, text)]
+    found = decontam.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"), items).collect()
+    assert {r.doc_id for r in found} == {1, 2, 3, 5} and len(found) == 4
+
+
 def test_inconsistent_slots_are_no_match(spark):
     item = "Tom met Ann and Tom told Ann that Tom saw Ann when Tom left Ann near Tom and Ann there"
     names = iter("Al Bo Cy Di Ed Fay Gus Hal Ida Joe Kay Lee".split())
