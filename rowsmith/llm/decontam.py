@@ -10,7 +10,8 @@ its frame words in common is not. Each text has a second form, in which names st
 doesn't depend on letter case, so that copies in other case are found. A pair counts if either form
 matches.
 
-Windows without WORDS_AT_LEAST plain words are not joined. Items shorter than a window are one window
+Windows without WORDS_AT_LEAST plain words are joined on their literal words, numbers and names included,
+so that exact copies of them are found and variants are not. Items shorter than a window are one window
 of their own length. Document windows are first held against a bit set of the benchmark's windows
 (FILTER_BITS, whatever the benchmark's size), so that only possible matches are shuffled. The
 benchmark's windows are broadcast if they are at most BROADCAST_ROWS, else the join is left to the
@@ -91,14 +92,15 @@ class Template:
         self.kinds = np.where((fixed == 0) & capital, NAME, fixed), fixed
 
     def windows(self, width: int, form: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and first word of the windows with enough plain words."""
+        """Hash and first word of all windows; those with few plain words are hashed with what is in their slots."""
         kind = self.kinds[form]
         words = np.where(kind > 0, mix(kind.astype(np.uint64) + np.uint64(1 << 50)), self.value)
         value, first = windows(words, self.row, width)
         plain = np.r_[0, np.cumsum(kind == 0)]
         keep = 2 * (plain[first + width] - plain[first]) >= min(width, 2 * WORDS_AT_LEAST)
-        value = value ^ mix(np.full(len(value), width + (form << 32), np.uint64))
-        return value[keep], first[keep]
+        literal = windows(self.value, self.row, width)[0]
+        kinds = np.where(keep, form, form + len(FORMS)).astype(np.uint64)
+        return np.where(keep, value, literal) ^ mix(np.uint64(width) + (kinds << np.uint64(32))), first
 
 
 def _unit_hashes() -> np.ndarray:

@@ -120,6 +120,22 @@ def test_copies_in_other_letter_case(spark):
     assert {r.doc_id for r in found} == {1, 2, 3, 5} and len(found) == 4
 
 
+def test_copies_of_items_with_few_plain_words(spark):
+    texts = [
+        "12 + 7 = 19, 13 + 8 = 21, 14 + 9 = 23, 15 + 10 = 25",
+        "John Smith, Paris 1999; Mary Jones, London 2001; Peter Brown, Rome 2003; Anna White, Madrid 2005",
+        "3 + 4 = 7",
+        "5 km 8 miles 3 kg 7 lbs 2 feet 9 inches",
+    ]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    docs = [(i, f"{PROSE} {t} {OTHER}") for i, t in enumerate(texts)]
+    docs += [(10, "22 + 7 = 29, 23 + 8 = 31, 24 + 9 = 33, 25 + 10 = 35"), (11, "6 + 2 = 8"), (12, PROSE)]
+    docs += [(13, "4 km 9 miles 2 kg 6 lbs 1 feet 8 inches")]
+    found = decontam.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"), items).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, i) for i in range(4)}
+    assert all(r.same_slots for r in found)
+
+
 def test_inconsistent_slots_are_no_match(spark):
     item = "Tom met Ann and Tom told Ann that Tom saw Ann when Tom left Ann near Tom and Ann there"
     names = iter("Al Bo Cy Di Ed Fay Gus Hal Ida Joe Kay Lee".split())
