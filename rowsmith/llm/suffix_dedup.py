@@ -46,7 +46,7 @@ PIECE = 1 << 18
 _BASE = 0x9E3779B97F4A7C55
 _BYTES = mix(np.arange(256, dtype=np.uint64) + np.uint64(99))
 _SPAN = LENGTH - K + 1
-_ROW = "kind int, h bigint, r bigint, doc bigint, pos bigint, spans binary"
+_ROW = "kind int, h bigint, r bigint, doc bigint, pos bigint, tag bigint, spans binary"
 REGION, SPANS, SHARED = 0, 1, 2
 
 
@@ -119,25 +119,25 @@ def regions(data: np.ndarray, offsets: np.ndarray):
     return short, region.view(np.int64), row[first], first - offsets[row[first]], count
 
 
-def pack(first: np.ndarray, count: np.ndarray, tag: np.ndarray) -> np.ndarray:
-    """Start, windows and tag of a document in one number, ordered by start."""
-    return (first << 31) | (count << 24) | tag
+def pack(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Start and windows in one number, ordered by start."""
+    return (first << 7) | count
 
 
 def _tags(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """24 bits of a hash of each text; with the id they tell repeated ids apart."""
+    """A 64-bit hash of each text; with the id it tells repeated ids apart."""
     import xxhash
 
     flat = data.tobytes()
     ends = offsets.tolist()
     return np.array(
-        [xxhash.xxh3_64_intdigest(flat[a:b]) & 0xFFFFFF for a, b in zip(ends[:-1], ends[1:], strict=True)], np.int64
-    )
+        [xxhash.xxh3_64_intdigest(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], np.uint64
+    ).view(np.int64)
 
 
-def _span_rows(doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+def _span_rows(doc: np.ndarray, pos: np.ndarray, tag: np.ndarray) -> pa.RecordBatch:
     """The removed bytes of repeated runs of windows, merged for each document."""
-    tag, first, count = pos & 0xFFFFFF, pos >> 31, (pos >> 24) & 127
+    first, count = pos >> 7, pos & 127
     order = np.lexsort((first, tag, doc))
     doc, tag, first = doc[order], tag[order], first[order]
     end = first + count[order] + LENGTH - 1
@@ -154,10 +154,11 @@ def _span_rows(doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
             pa.array(mix(doc[begin].view(np.uint64)).view(np.int64)),
             pa.nulls(n, pa.int64()),
             pa.array(doc[begin]),
+            pa.nulls(n, pa.int64()),
             pa.array(tag[begin]),
             pa.array(out, pa.binary()),
         ],
-        names=["kind", "h", "r", "doc", "pos", "spans"],
+        names=["kind", "h", "r", "doc", "pos", "tag", "spans"],
     )
 
 
@@ -172,17 +173,17 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[at, 0], np.maximum.reduceat(spans[:, 1], at)], axis=1)
 
 
-def _rows(kind: int, h, r, doc, pos) -> pa.RecordBatch:
+def _rows(kind: int, h, r, doc, pos, tag) -> pa.RecordBatch:
     n = len(h)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, kind, np.int32)), *(pa.array(x) for x in (h, r, doc, pos)), pa.nulls(n, pa.binary())],
-        names=["kind", "h", "r", "doc", "pos", "spans"],
+        [pa.array(np.full(n, kind, np.int32)), *(pa.array(x) for x in (h, r, doc, pos, tag)), pa.nulls(n, pa.binary())],
+        names=["kind", "h", "r", "doc", "pos", "tag", "spans"],
     )
 
 
-def _firsts(key: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _firsts(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows in order of key and place, and which of them are at the first place of their key."""
-    order = np.lexsort((pos, doc, key))
+    order = np.lexsort((tag, pos, doc, key))
     k, d, p = key[order], doc[order], pos[order]
     new = np.r_[True, k[1:] != k[:-1]]
     lead = np.flatnonzero(new)[np.cumsum(new) - 1]
@@ -194,21 +195,21 @@ def _suffixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
 
     def settle():
-        h, r, doc, pos = (np.concatenate(x) for x in zip(*held, strict=True))
-        order, first = _firsts(r, doc, pos)
+        h, r, doc, pos, tag = (np.concatenate(x) for x in zip(*held, strict=True))
+        order, first = _firsts(r, doc, pos, tag)
         lead = order[first]
         lead = lead[np.r_[True, r[lead][1:] != r[lead][:-1]]] if len(lead) else lead
-        yield _rows(REGION, h[lead], r[lead], doc[lead], pos[lead])
+        yield _rows(REGION, h[lead], r[lead], doc[lead], pos[lead], tag[lead])
         rest = order[~first]
         if len(rest):
-            yield _span_rows(doc[rest], pos[rest])
+            yield _span_rows(doc[rest], pos[rest], tag[rest])
 
     for batch in slices(batches, 1, SLICE):
         data, offsets = raw(batch.column(1))
         h, r, row, first, count = regions(data, offsets)
         if len(h):
             doc = batch.column(0).to_numpy()
-            held.append([h, r, doc[row], pack(first, count, _tags(data, offsets)[row])])
+            held.append([h, r, doc[row], pack(first, count), _tags(data, offsets)[row]])
             size += len(h)
         if size >= SAMPLES_AT_ONCE:
             yield from settle()
@@ -243,29 +244,29 @@ def _scan(keep_regions: bool):
             kind = block.column(0).to_numpy()
             done = np.flatnonzero(kind == SPANS)
             if len(done):
-                yield block.take(pa.array(done)).select(["kind", "h", "r", "doc", "pos", "spans"])
+                yield block.take(pa.array(done)).select(["kind", "h", "r", "doc", "pos", "tag", "spans"])
             at = np.flatnonzero(kind == REGION)
             if not len(at):
                 continue
-            h, r, doc, pos = (block.column(i).to_numpy(zero_copy_only=False)[at] for i in (1, 2, 3, 4))
-            r = r.astype(np.int64)
-            known = block.column(6).to_numpy(zero_copy_only=False)[at]
-            order, first = _firsts(r, doc, pos)
+            h, r, doc, pos, tag = (block.column(i).to_numpy(zero_copy_only=False)[at] for i in (1, 2, 3, 4, 5))
+            r, pos = r.astype(np.int64), pos.astype(np.int64)
+            known = block.column(7).to_numpy(zero_copy_only=False)[at]
+            order, first = _firsts(r, doc, pos, tag)
             again = order[~first & ~known[order]]
             if len(again):
-                yield _span_rows(doc[again], pos[again])
+                yield _span_rows(doc[again], pos[again], tag[again])
             lead = order[first]
             lead = lead[np.r_[True, r[lead][1:] != r[lead][:-1]]]
             if keep_regions:
                 new = lead[~known[lead]]
-                yield _rows(REGION, h[new], r[new], doc[new], pos[new])
+                yield _rows(REGION, h[new], r[new], doc[new], pos[new], tag[new])
             owners, where, times = np.unique(h[lead], return_inverse=True, return_counts=True)
             fresh = np.bincount(where, ~known[lead], minlength=len(owners)) > 0
             shared = np.flatnonzero((times > 1) & fresh)
             n = len(shared)
             if n:
                 none = np.zeros(n, np.int64)
-                yield _rows(SHARED, owners[shared], times[shared].astype(np.int64), none, none)
+                yield _rows(SHARED, owners[shared], times[shared].astype(np.int64), none, none, none)
 
     return scan
 
@@ -317,8 +318,8 @@ class Family:
                     yield batch.filter(pa.array(_in(sent.value, batch.column(1).to_numpy())))
 
             for _, path in self.levels:
-                level = spark.read.schema("h bigint, r bigint, doc bigint, pos bigint").parquet(path)
-                level = level.selectExpr("0 AS kind", "h", "r", "doc", "pos", "cast(null AS binary) AS spans", "true AS known")
+                level = spark.read.schema("h bigint, r bigint, doc bigint, pos bigint, tag bigint").parquet(path)
+                level = level.selectExpr("0 AS kind", "h", "r", "doc", "pos", "tag", "cast(null AS binary) AS spans", "true AS known")
                 fresh = fresh.unionByName(level.mapInArrow(touched, _ROW + ", known boolean"))
         scanned = fresh.repartition("h").sortWithinPartitions("h").mapInArrow(_scan(not last), _ROW)
         path = scratch_dir(spark, "suffixes")
@@ -329,7 +330,7 @@ class Family:
         self.levels.append((1, f"{path}/kind={REGION}"))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (n, one), (_, two) = self.levels[-2:]
-            schema = "h bigint, r bigint, doc bigint, pos bigint"
+            schema = "h bigint, r bigint, doc bigint, pos bigint, tag bigint"
             both = spark.read.schema(schema).parquet(one).unionByName(spark.read.schema(schema).parquet(two))
             path = scratch_dir(spark, "level")
             both.repartition("h").sortWithinPartitions("h", "r").write.parquet(path)
@@ -338,7 +339,7 @@ class Family:
             _delete(spark, two)
 
     def rows(self, kind: int) -> DataFrame:
-        schema = "h bigint, r bigint, doc bigint, pos bigint, spans binary, kind int"
+        schema = "h bigint, r bigint, doc bigint, pos bigint, tag bigint, spans binary, kind int"
         out = None
         for path in self.found:
             part = self.spark.read.schema(schema).parquet(path).filter(F.col("kind") == kind)
@@ -377,9 +378,8 @@ def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
         held, size = [], 0
 
         def settle():
-            h, r, doc, pos = (np.concatenate(x) for x in list(zip(*held, strict=True))[:4])
-            bodies = np.concatenate([x[4] for x in held])
-            order, first = _firsts(r, doc, pos)
+            h, r, doc, pos, tag, bodies = (np.concatenate(x) for x in zip(*held, strict=True))
+            order, first = _firsts(r, doc, pos, tag)
             at = order[first]
             at = at[np.r_[True, r[at][1:] != r[at][:-1]]]
             salt = np.where(_in(hot.value, h[at]), r[at] % SALTS + 1, 0)
@@ -389,9 +389,10 @@ def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
                     pa.array(salt > 0),
                     pa.array(doc[at]),
                     pa.array(pos[at]),
+                    pa.array(tag[at]),
                     pa.array(bodies[at].tolist(), pa.binary()),
                 ],
-                names=["h", "split", "doc", "pos", "body"],
+                names=["h", "split", "doc", "pos", "tag", "body"],
             )
 
         for batch in slices(batches, 1, SLICE):
@@ -400,13 +401,13 @@ def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
             at = np.flatnonzero(_in(marks.value, h)) if len(h) else np.zeros(0, np.int64)
             if not len(at):
                 continue
-            pos = pack(first[at], count[at], _tags(data, offsets)[row[at]])
+            pos, tag = pack(first[at], count[at]), _tags(data, offsets)[row[at]]
             start = offsets[row[at]] + first[at]
             flat = data.tobytes()
             bodies = np.empty(len(at), object)
             ends = start + count[at] + LENGTH - 1
             bodies[:] = [flat[a:b] for a, b in zip(start.tolist(), ends.tolist(), strict=True)]
-            held.append([h[at], r[at], batch.column(0).to_numpy()[row[at]], pos, bodies])
+            held.append([h[at], r[at], batch.column(0).to_numpy()[row[at]], pos, tag, bodies])
             size += len(at)
             if size >= SUSPECTS_AT_ONCE:
                 yield settle()
@@ -417,44 +418,44 @@ def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, False):
-            bodies = block.column(4)
+            bodies = block.column(5)
             _, where, flat = bodies.buffers()
             bound = np.frombuffer(where, np.int32)[bodies.offset : bodies.offset + len(bodies) + 1].astype(np.int64)
             data = np.frombuffer(flat, np.uint8)[bound[0] : bound[-1]]
             (window,) = _hashes(data, (LENGTH,))
-            doc, pos = block.column(2).to_numpy(), block.column(3).to_numpy()
-            count = (pos >> 24) & 127
+            doc, pos, tag = (block.column(i).to_numpy() for i in (2, 3, 4))
+            count = pos & 127
             base = np.cumsum(count) - count
             step = np.arange(int(count.sum())) - np.repeat(base, count)
             key = window[np.repeat(bound[:-1] - bound[0], count) + step].view(np.int64)
             split = np.repeat(block.column(1).to_numpy(zero_copy_only=False), count)
-            doc = np.repeat(doc, count)
-            pos = pack(np.repeat(pos >> 31, count) + step, np.ones(len(step), np.int64), np.repeat(pos & 0xFFFFFF, count))
-            order, first = _firsts(key, doc, pos)
+            doc, tag = np.repeat(doc, count), np.repeat(tag, count)
+            pos = pack(np.repeat(pos >> 7, count) + step, np.ones(len(step), np.int64))
+            order, first = _firsts(key, doc, pos, tag)
             again = order[~first]
             if len(again):
-                yield _span_rows(doc[again], pos[again])
+                yield _span_rows(doc[again], pos[again], tag[again])
             left = order[first]
             left = left[split[left]]
             if len(left):
-                yield _rows(REGION, key[left], key[left], doc[left], pos[left])
+                yield _rows(REGION, key[left], key[left], doc[left], pos[left], tag[left])
 
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, False):
-            key, doc, pos = (block.column(i).to_numpy() for i in range(3))
-            order, first = _firsts(key, doc, pos)
+            key, doc, pos, tag = (block.column(i).to_numpy() for i in range(4))
+            order, first = _firsts(key, doc, pos, tag)
             again = order[~first]
             if len(again):
-                yield _span_rows(doc[again], pos[again])
+                yield _span_rows(doc[again], pos[again], tag[again])
 
-    found = docs.mapInArrow(suspects, "h bigint, split boolean, doc bigint, pos bigint, body binary")
+    found = docs.mapInArrow(suspects, "h bigint, split boolean, doc bigint, pos bigint, tag bigint, body binary")
     found = found.repartition("h").sortWithinPartitions("h").mapInArrow(compare, _ROW)
     path = scratch_dir(spark, "compared")
     found.write.parquet(path)
     found = spark.read.parquet(path)
-    left = found.filter(F.col("kind") == REGION).select("h", "doc", "pos")
+    left = found.filter(F.col("kind") == REGION).select("h", "doc", "pos", "tag")
     left = left.repartition("h").sortWithinPartitions("h").mapInArrow(finish, _ROW)
-    columns = ["doc", F.col("pos").alias("tag"), "spans"]
+    columns = ["doc", "tag", "spans"]
     return (
         family.rows(SPANS).select(*columns).union(found.filter(F.col("kind") == SPANS).select(*columns)).union(left.select(*columns))
     )

@@ -77,6 +77,25 @@ def test_repeats_with_split_owners_and_more_batches(spark, monkeypatch):
         assert got == {d: sum(masks[d, t]) for d, t in docs}
 
 
+def test_texts_without_id_keep_their_own_bytes(spark):
+    import xxhash
+
+    seen, pair, i = {}, None, 0
+    while pair is None:  # two texts that share 24 bits of their hash; only one repeats itself
+        again = f"{i} " + "".join(random.Random(i).choices("abcdefgh ", k=130))
+        text = again + again if i % 2 else again * 2 + "x" if i % 4 else again
+        tag = xxhash.xxh3_64_intdigest(text.encode()) & 0xFFFFFF
+        other = seen.setdefault(tag, text)
+        pair = (other, text) if len(other) != len(text) else None
+        i += 1
+    masks = removed([(None, t) for t in pair])
+    frame = spark.createDataFrame([(None, t) for t in pair], "doc_id bigint, text string")
+    got = {r.n_bytes: (r.n_removed, bytes(r.kept)) for r in suffix_dedup.dedup(frame).collect()}
+    for t in pair:
+        mask = masks[float("-inf"), t]
+        assert got[len(t)] == (sum(mask), bytes(x for x, m in zip(t.encode(), mask, strict=True) if not m))
+
+
 def test_stripped_texts_keep_all_columns(spark, messy):
     got = suffix_dedup.strip(messy.withColumn("n_chars", messy.c), length="n_chars")
     assert got.columns == [*messy.columns, "n_chars"]
