@@ -9,7 +9,7 @@ drop branches of low importance.
 Roles that markup states are priors of the importance: menus, footers, adverts, forms, comments and
 the like (NOISE_TAGS, NOISE_NAMES) have importance 0 however varied they are, and what stands in an
 article keeps importance 1 even if several pages have the same article. Entropy decides about all
-other nodes, on hosts with at least MIN_PAGES pages that show them.
+other nodes, on hosts with at least MIN_PAGES distinct pages that show them.
 
 Counts are keyed by host, path and feature, so that a host with a large share of all pages is spread
 over its features and combined before the shuffle. What a host's tree holds after that is its
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.text import slices
+from rowsmith.llm.text import slices, split_rows
 
 MIN_PAGES = 5
 LOW = 0.3
@@ -222,12 +222,13 @@ def _hash(text: str) -> int:
 
 
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Host, node, parent, kind of feature (0 presentation, 1 content), feature, times."""
+    """Host, node, parent, kind of feature (0 presentation, 1 content, 2 page), feature, times."""
     for batch in slices(batches, 1):
         seen: dict[tuple, int] = {}
         for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             site = host(url)
             hashes: dict[tuple, int] = {}
+            shown: set[int] = set()
             for node in parse(page or "")[0]:
                 path = hashes.get(node.path)
                 if path is None:
@@ -240,6 +241,10 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for kind, value in features:
                     key = (site, path, parent, kind, value)
                     seen[key] = seen.get(key, 0) + 1
+                if path not in shown:
+                    shown.add(path)
+                    key = (site, path, parent, 2, 0)
+                    seen[key] = seen.get(key, 0) + 1
         columns = list(zip(*seen, strict=True)) if seen else [[]] * 5
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.int8(), pa.int64())
         yield pa.RecordBatch.from_arrays(
@@ -277,16 +282,30 @@ def _low(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for nodes in batch.column(1).to_pylist():
             tree = {x["node"]: (x["parent"], x["presentation"], x["content"], x["times"]) for x in nodes}
-            out.append([n for n, v in importance(tree).items() if v < LOW and tree[n][3] >= MIN_PAGES])
+            pages = {x["node"]: x["pages"] for x in nodes}
+            out.append([n for n, v in importance(tree).items() if v < LOW and pages[n] >= MIN_PAGES])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["host", "low"]
         )
 
 
+def _host_of(url: str):
+    return F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), _HOST.pattern, 1))
+
+
 def style_trees(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """For each host, ``low``: the nodes of its style tree that have low importance."""
+    """For each host, ``low``: the nodes of its style tree that have low importance.
+
+    Each distinct html of a host counts once. Only pages that may have copies are shuffled for that.
+    """
+    rows = pages.select(F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
+    key = F.xxhash64(_host_of("url"), F.coalesce("html", F.lit("")))
+    copied = rows.groupBy(key.alias("h")).count().filter("count > 1").select("h")
+    alone, copies = split_rows(rows, key, copied)
+    copies = copies.groupBy(_host_of("url").alias("host"), "html").agg(F.count(F.lit(1)))
+    copies = copies.select(F.concat(F.lit("http://"), "host").alias("url"), "html")
     counted = (
-        pages.select(F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
+        alone.union(copies)
         .mapInArrow(_features, "host string, node bigint, parent bigint, kind tinyint, feature bigint, n bigint")
         .groupBy("host", "node", "parent", "kind", "feature")
         .agg(F.sum("n").alias("n"))
@@ -300,9 +319,10 @@ def style_trees(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
         F.max(F.when(F.col("kind") == 0, F.col("entropy"))).alias("presentation"),
         F.max(F.when(F.col("kind") == 1, F.col("entropy"))).alias("content"),
         F.max("times").alias("times"),
+        F.max(F.when(F.col("kind") == 2, F.col("times"))).alias("pages"),
     )
     trees = nodes.groupBy("host").agg(
-        F.collect_list(F.struct("node", "parent", "presentation", "content", "times")).alias("nodes")
+        F.collect_list(F.struct("node", "parent", "presentation", "content", "times", "pages")).alias("nodes")
     )
     return trees.mapInArrow(_low, "host string, low array<bigint>")
 
@@ -312,17 +332,17 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 
     Character references are decoded, white space within a block becomes one space, and blocks are
     joined by one line feed. Null or empty html gives an empty text; pages whose url is null or has
-    no host form one site. Repeated rows are kept, and count as pages of their site. An empty table
+    no host form one site. Repeated rows are kept; each distinct html counts once as a page of its
+    site. An empty table
     gives an empty result.
     """
     kind = pages.schema[page_id].dataType.simpleString()
     link = pages.schema[url].dataType.simpleString()
-    at = F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), _HOST.pattern, 1))
     rows = pages.select(
         F.col(page_id).alias("id"),
         F.col(url).alias("url"),
         F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"),
-        at.alias("host"),
+        _host_of(url).alias("host"),
     )
     low = style_trees(pages, url, html).filter(F.size("low") > 0)
     joined = rows.join(low, "host", "left").select("id", "url", "html", "low")

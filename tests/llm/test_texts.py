@@ -288,6 +288,17 @@ def test_style_trees_drop_what_a_site_repeats(spark):
     assert html.extract(spark.createDataFrame([], frame.schema)).collect() == []
 
 
+def test_copies_of_a_page_do_not_empty_it(spark):
+    page = "<body><h1>Title</h1><div class=content>The only text</div><ul><li>a</li><li>a</li><li>a</li><li>a</li><li>a</li></ul></body>"
+    rows_ = [(i, f"http://copies.example/{i}", page) for i in range(9)]
+    rows_ += [(20 + i, f"http://HOST{i % 2}.example/{i}", f"<body><div class=x>Slogan</div><p>Own {i}</p></body>") for i in range(12)]
+    rows_ += [(50 + i, None, None) for i in range(7)]
+    frame = spark.createDataFrame(rows_, "page_id bigint, url string, html string").repartition(4)
+    found = {r.page_id: r.text for r in html.extract(frame).collect()}
+    assert {found[i] for i in range(9)} == {"Title\nThe only text\na\na\na\na\na"}
+    assert all(found[20 + i] == f"Own {i}" for i in range(12)) and found[50] == ""
+
+
 def test_conversations_read_back(spark):
     odd = r"\### Assistant: </turn> <|end|> \<| \\ <|role|>assistant<|text|>"
     rows_ = [
