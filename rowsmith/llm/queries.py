@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import bpe, chat, classifier, decontam, html, jaccard, langid, lm, quality_rules, suffix_dedup
+from rowsmith.llm import (
+    bpe,
+    chat,
+    classifier,
+    decontam,
+    html,
+    jaccard,
+    langid,
+    lm,
+    quality_rules,
+    retrieval,
+    runs,
+    suffix_dedup,
+    superkmers,
+)
 from rowsmith.llm.text import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +129,98 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(
         table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model")
     )
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """The table of ``op11_runs``: one text in ten repeats a stretch of its words from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    n, g = F.size(words), F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    text = F.array_join(F.slice(F.concat(F.slice(words, F.lit(1), a), tail), F.lit(1), n), " ")
+    return docs.withColumn("text", F.when((h % 10 == 0) & (n > 0), text).otherwise(F.col("text")))
+
+
+@query
+def op11_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = runs.find_runs(with_periodic_tails(table(spark, sf, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    found = found.withColumn("best", best)
+    length, start, period = F.col("best.length"), -F.col("best.col2"), -F.col("best.col3")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_superkmers(spark: SparkSession, sf: str) -> DataFrame:
+    found = superkmers.dedup(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+ORACLE["op12_superkmers"] = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS run FROM texts, range(1, len(words) - 11) AS t(i)
+), firsts AS (
+  SELECT run, min(doc_id) AS first_id FROM windows GROUP BY run
+), gone AS (
+  SELECT DISTINCT doc_id, i + d AS place
+  FROM windows JOIN firsts USING (run), range(13) AS r(d) WHERE doc_id > first_id
+), placed AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept
+  FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+), removed AS (
+  SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
+
+@query
+def op13_retrieval(spark: SparkSession, sf: str) -> DataFrame:
+    return retrieval.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+ORACLE["op13_retrieval"] = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), stats AS (
+  SELECT count(*) AS docs, sum(len(terms))::BIGINT AS total FROM texts WHERE len(terms) > 0
+), postings AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM texts) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM postings, stats GROUP BY term, docs
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), lengths AS (
+  SELECT doc_id, 10 + (90 * len(terms) * docs) // total AS m FROM texts, stats WHERE len(terms) > 0
+), scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM wanted JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""

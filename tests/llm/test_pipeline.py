@@ -66,6 +66,6 @@ def test_the_whole_run_equals_its_stages(spark, tables):
 def test_registered_queries():
     names = list(entry.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert set(entry.oracle_sql()) <= set(names)
