@@ -39,7 +39,8 @@ HOT_KEYS = 65_536
 # Super-k-mers that a task settles together, before and after the shuffle.
 HELD = 1 << 17
 ROWS_AT_ONCE = 1 << 16
-SLICE = 2 << 20
+SLICE = 1 << 20
+GATHER = 1 << 18
 
 SPANS, STRING, WINDOW = 0, 1, 2
 _ROW = "kind int, h bigint, doc bigint, tag bigint, places binary, body binary"
@@ -63,20 +64,37 @@ class Text:
         return self.at[word] + self.size[word]
 
 
+def _shares(size: np.ndarray) -> Iterator[slice]:
+    """Runs of pieces with about GATHER bytes together: the indices of more would take eight times their room."""
+    ends = np.cumsum(size)
+    at = 0
+    while at < len(size):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + GATHER, "right")))
+        yield slice(at, to)
+        at = to
+
+
 def gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The bytes of several pieces, one after the other."""
-    base = np.cumsum(size) - size
-    return data[np.repeat(start - base, size) + np.arange(int(size.sum()))]
+    out = np.empty(int(size.sum()), np.uint8)
+    at = 0
+    for part in _shares(size):
+        n = size[part]
+        ends = np.cumsum(n)
+        total = int(ends[-1])
+        out[at : at + total] = data[np.repeat(start[part] - ends + n, n) + np.arange(total)]
+        at += total
+    return out
 
 
 def same_bytes(data: np.ndarray, one: np.ndarray, two: np.ndarray, one_size: np.ndarray, two_size: np.ndarray) -> np.ndarray:
     """Which pairs of pieces are equal, byte by byte."""
     same = one_size == two_size
-    at = np.flatnonzero(same & (one_size > 0))
-    if len(at):
-        size = one_size[at]
-        unlike = gather(data, one[at], size) != gather(data, two[at], size)
-        same[at] = np.add.reduceat(unlike.astype(np.int64), np.cumsum(size) - size) == 0
+    at = np.flatnonzero(same & (one != two) & (one_size > 0))
+    for part in _shares(one_size[at]):
+        some, size = at[part], one_size[at[part]]
+        unlike = gather(data, one[some], size) != gather(data, two[some], size)
+        same[some] = ~np.logical_or.reduceat(unlike, np.cumsum(size) - size)
     return same
 
 
