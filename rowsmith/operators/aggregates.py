@@ -13,18 +13,32 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.functions import checks, names
+from rowsmith.functions import checks, exact, names
 from rowsmith.functions.registry import AGGREGATES, pick
 from rowsmith.operators.filters import equal_to
 
 
 def group(
-    df: DataFrame, by: Sequence[str], column: str, op: str, name: str | None = None
+    df: DataFrame, by: Sequence[str], column: str, op: str, name: str | None = None, exactly: bool = False
 ) -> DataFrame:
+    """One row per group. With ``exactly``, sums and means of doubles are exact sums, rounded once.
+
+    Plain sums of doubles depend on the order in which partial sums meet. Exact ones do not; they need
+    a job that measures the column first.
+    """
     checks.require_columns(df, by)
     checks.require_numeric(df, [column])
     output = name or names.derived(names.BY_OPERATION, column, op)
-    return df.groupBy(*by).agg(pick(AGGREGATES, op)(F.col(column)).alias(output))
+    aggregate = pick(AGGREGATES, op)
+    if not exactly or op not in ("sum", "mean") or not exact.inexact(df.schema[column].dataType):
+        return df.groupBy(*by).agg(aggregate(F.col(column)).alias(output))
+    digits = exact.measure(df, [column])[column]
+    sums = [f"__sum_{i}" for i in range(digits.parts())]
+    parts = [F.sum(p).alias(n) for p, n in zip(exact.parts(F.col(column), digits), sums)]
+    found = exact.totals(df.groupBy(*by).agg(*parts, F.count(column).alias("__n")), {output: (sums, digits)})
+    if op == "mean":
+        found = found.withColumn(output, F.col(output) / F.col("__n"))
+    return found.drop(*sums, "__n")
 
 
 def filter_then_group(

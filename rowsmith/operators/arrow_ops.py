@@ -6,6 +6,7 @@ import math
 import sys
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
@@ -22,6 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Partial rows a task holds before it combines them.
 COMBINE_ROWS = 65_536
+ROWS_KEPT = 262_144
 
 
 def _joined(tables: Sequence[pa.Table]) -> pa.Table:
@@ -43,20 +45,98 @@ def _same_as_last(rows: pa.Table, columns: Sequence[str]) -> pa.ChunkedArray:
     return same
 
 
-def map_batches(df: DataFrame, fn: TableFunction, schema: StructType | str) -> DataFrame:
+def resized(batches: Batches, size: int) -> Batches:
+    """The same rows in batches of exactly ``size``, but for the last: cut and joined across batch borders."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        while rows + batch.num_rows >= size:
+            held.append(batch.slice(0, size - rows))
+            batch = batch.slice(size - rows)
+            yield from _joined([pa.Table.from_batches([b]) for b in held]).combine_chunks().to_batches()
+            held, rows = [], 0
+        if batch.num_rows:
+            held.append(batch)
+            rows += batch.num_rows
+    if held:
+        yield from _joined([pa.Table.from_batches([b]) for b in held]).combine_chunks().to_batches()
+
+
+def map_batches(df: DataFrame, fn: TableFunction, schema: StructType | str, batch_size: int | None = None) -> DataFrame:
     """Apply a row-wise function to Arrow batches, without a shuffle.
 
-    A batch is an arbitrary piece of the table, so ``fn`` must not depend on where it is cut. The
-    session's ``spark.sql.execution.arrow.maxRecordsPerBatch`` sets its size.
+    A batch is an arbitrary piece of the table, so ``fn`` must not depend on where it is cut. With
+    ``batch_size`` it gets exactly so many rows at a time, and what remains in each partition; without it, the
+    session's ``spark.sql.execution.arrow.maxRecordsPerBatch`` sets the size for all such functions.
     """
+    if batch_size is not None and batch_size < 1:
+        raise ValueError(f"batch_size must be at least 1, got {batch_size}")
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in batches if batch_size is None else resized(batches, batch_size):
             yield from fn(pa.Table.from_batches([batch])).to_batches()
 
     return df.mapInArrow(run, schema)
 
 
+def _place(values: pa.Array) -> np.ndarray:
+    """Dense rank of each value as Spark orders them: nulls first, NaN last."""
+    if pa.types.is_floating(values.type):
+        numbers = values.to_numpy(zero_copy_only=False)
+        place = np.unique(numbers, return_inverse=True)[1] + 1
+        return np.where(values.is_null().to_numpy(zero_copy_only=False), 0, place)
+    if pa.types.is_boolean(values.type):
+        values = values.cast(pa.int8())
+    return pc.rank(values, "ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
+
+
+def outermost_rows(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int, last: bool = False) -> DataFrame:
+    """A table with, of each group, at least its first ``n`` rows (``last``: its last), and few others.
+
+    Every task keeps the outermost ``n`` rows of each group in its part of the table, at most ROWS_KEPT rows at
+    a time; what the tasks keep together still has to be ranked. So a later shuffle moves as many rows as tasks
+    and groups ask for, whatever ``n`` is. Order columns of types that Arrow does not rank leave the table as it is.
+    """
+    width = len(by)
+
+    def pruned(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+        keys = whole.select([*by, *order])
+        try:
+            places = [_place(keys.column(i)) for i in range(width, keys.num_columns)]
+        except pa.ArrowNotImplementedError:
+            return whole
+        group = np.zeros(whole.num_rows, np.int64)
+        for i in range(width):
+            codes = keys.column(i).dictionary_encode("encode").indices.to_numpy()
+            group = np.unique(group * (int(codes.max(initial=0)) + 1) + codes, return_inverse=True)[1]
+        if last:
+            places = [-p for p in places]
+        sort = np.lexsort((*reversed(places), group))
+        begin = np.flatnonzero(np.r_[True, np.diff(group[sort]) != 0])
+        within = np.arange(len(sort)) - np.repeat(begin, np.diff(np.r_[begin, len(sort)]))
+        return whole.take(pa.array(np.sort(sort[within < n])))
+
+    def run(batches: Batches) -> Batches:
+        held: list[pa.RecordBatch] = []
+        rows = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= ROWS_KEPT:
+                held = [pruned(held)]
+                rows = held[0].num_rows
+                if rows > ROWS_KEPT // 2:
+                    yield from held
+                    held, rows = [], 0
+        if held:
+            yield pruned(held)
+
+    return df.mapInArrow(run, df.schema)
+
+
 def map_groups(
     df: DataFrame,
     by: Sequence[str],
@@ -97,15 +177,16 @@ def reduce_groups(
 
     def reduce_batches(batches: Batches) -> Batches:
         held: list[pa.Table] = []
+        rows = 0
         for batch in batches:
             held.append(partial(pa.Table.from_batches([batch])))
-            if sum(t.num_rows for t in held) > COMBINE_ROWS:
+            rows += held[-1].num_rows
+            if rows > COMBINE_ROWS:
                 merged = combine(_joined(held))
-                held = []
-                if merged.num_rows > COMBINE_ROWS // 2:
+                held, rows = [merged], merged.num_rows
+                if rows > COMBINE_ROWS // 2:
                     yield from merged.to_batches()
-                else:
-                    held = [merged]
+                    held, rows = [], 0
         if held:
             yield from combine(_joined(held)).to_batches()
 

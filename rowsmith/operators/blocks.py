@@ -4,10 +4,10 @@ A window over a whole table, or over one key that holds a large share of the row
 that group into a single task. Here such a group is cut, along its row order, into consecutive
 blocks, and the window is partitioned by (keys, block):
 
-* ``find_cuts`` counts the rows of each group. Groups within ``rows_per_block`` are left alone,
+* ``measure`` counts the rows of each group. Groups within ``rows_per_block`` are left alone,
   so a table without large groups keeps the plain one-shuffle window plan. For larger groups the
-  cut points come from a sample of the order columns. The sample decides only where a cut lies,
-  never which rows are kept, so results are exact for every choice of cuts.
+  cut points come from a sample of the order columns, taken in the same pass. The sample decides only where a
+  cut lies, never which rows are kept, so results are exact for every choice of cuts.
 * ``assign_blocks`` finds each row's block by binary search in its group's cut points.
 * ``with_halo`` copies the few rows a window reaches beyond its block into that block.
 * ``carry_in`` gives the total of all earlier blocks of the group, for running totals.
@@ -25,12 +25,17 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from rowsmith.functions import exact
+from rowsmith.operators.arrow_ops import outermost_rows
+
 ROWS_PER_BLOCK = 1_000_000
 MAX_BLOCKS = 65_536
 SAMPLED_ROWS_PER_BLOCK = 16
+# Spark limits the rows of a ranked group before the shuffle only below this rank.
+RANKED_BY_SPARK = 1_000
 
 BLOCK = "__block"
 CUT = "__cut"
@@ -56,41 +61,56 @@ def find_cuts(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_block: int | None = None
 ) -> Cuts | None:
     """Cut points for the groups with more than ``rows_per_block`` rows, or None if there are none."""
-    rows_per_block = rows_per_block or ROWS_PER_BLOCK
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
-    total, largest = sizes.agg(F.sum(_ROWS), F.max(_ROWS)).first()
-    if not largest or largest <= rows_per_block:
-        return None
-    limit = max(rows_per_block, math.ceil(total / MAX_BLOCKS))
-    large = sizes.filter(F.col(_ROWS) > limit)
-    if largest <= limit:
-        return None
-
-    sample = df.select(*keys, *(c for c in order if c not in keys)).sample(
-        fraction=min(1.0, SAMPLED_ROWS_PER_BLOCK / limit), seed=17
+    return measure(df, keys, order, rows_per_block)[0]
+
+
+def measure(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    rows_per_block: int | None = None,
+    doubles: Sequence[str] = (),
+) -> tuple[Cuts | None, dict[str, exact.Digits]]:
+    """``find_cuts``, and the digits that exact sums of some double columns need, in one pass.
+
+    Rows are counted by group and sampled by a hash of their order columns in the same aggregate,
+    so a row that comes twice is sampled once; magnitudes are metrics observed beside it. The driver gets one row
+    for each large group. If these need more than MAX_BLOCKS blocks together, blocks grow.
+    """
+    limit = rows_per_block or ROWS_PER_BLOCK
+    source = df.select(*dict.fromkeys([*keys, *order, *doubles]))
+    seen = Observation() if doubles else None
+    if seen:
+        source = source.observe(seen, *exact.ranges(doubles))
+    every = max(1, limit // SAMPLED_ROWS_PER_BLOCK)
+    point = F.when(F.pmod(F.xxhash64(*order), F.lit(every)) == 0, F.struct(*order))
+    sizes = source.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS), F.collect_set(point).alias(_POINTS))
+    large = sizes.filter(F.col(_ROWS) > limit).withColumn(_POINTS, F.sort_array(_POINTS))
+    rows = _spaced(large, F.ceil(F.col(_ROWS) / limit)).collect()
+    digits = exact.from_ranges(doubles, seen.get) if seen else {}
+    total = sum(r[_ROWS] for r in rows)
+    grown = max(limit, math.ceil(total / MAX_BLOCKS))
+    found = []
+    for *group, n, points in rows:
+        blocks, size = math.ceil(n / grown), len(points)
+        if grown > limit:
+            step = min(blocks, size + 1)
+            points = [points[i * size // step] for i in range(1, step)]
+        if points:
+            found.append((*group, points))
+    if not found:
+        return None, digits
+    table = df.sparkSession.createDataFrame(found, large.drop(_ROWS).schema)
+    return Cuts(table, tuple(keys), tuple(order), max(len(points) for *_, points in found)), digits
+
+
+def _spaced(large: DataFrame, blocks: Column) -> DataFrame:
+    """As many of the sorted points, evenly spaced, as cut a group into ``blocks`` blocks."""
+    at = F.transform(
+        F.sequence(F.lit(1), F.least(blocks - 1, F.size(_POINTS))),
+        lambda i: F.get(_POINTS, F.floor(i * F.size(_POINTS) / F.least(blocks, F.size(_POINTS) + 1)).cast("int")),
     )
-    if keys:
-        sample = _match_keys(sample, F.broadcast(large), keys, "inner")
-    else:
-        sample = sample.withColumn(_ROWS, F.lit(total))
-    found = F.sort_array(F.collect_list(F.struct(*order)))
-    blocks = F.ceil(F.first(_ROWS) / limit)
-    cuts = sample.groupBy(*keys).agg(found.alias("found"), blocks.alias("blocks"))
-    cuts = cuts.select(
-        *keys,
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1), F.col("blocks") - 1),
-                lambda i: F.get("found", F.floor(i * F.size("found") / F.col("blocks")).cast("int")),
-            )
-        ).alias(_POINTS),
-    ).filter(F.col(_POINTS).isNotNull())
-    rows = cuts.collect()
-    if not rows:
-        return None
-    table = df.sparkSession.createDataFrame(rows, cuts.schema)
-    table = table.withColumn(_POINTS, F.sort_array(_POINTS))
-    return Cuts(table, tuple(keys), tuple(order), max(len(r[_POINTS]) for r in rows))
+    return large.withColumn(_POINTS, F.when(F.size(_POINTS) > 0, F.array_distinct(at)).otherwise(F.col(_POINTS)))
 
 
 def _match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -131,7 +151,8 @@ def with_halo(
     """All rows, plus copies of the ``back`` rows before and ``ahead`` rows after each block.
 
     Copies carry the keys, the order and ``columns``, and are marked by a false ``__home``. A block
-    shorter than the reach takes rows from as many neighbours as it needs.
+    shorter than the reach takes rows from as many neighbours as it needs. Every task sends at most the reach of
+    each block: Spark sees to that for short reaches, ``outermost_rows`` for long ones.
     """
     keys, order = cuts.keys, cuts.order
     kept = list(dict.fromkeys([*keys, *order, *columns]))
@@ -143,8 +164,9 @@ def with_halo(
     in_block = Window.partitionBy(*keys, BLOCK)
     result = blocked.withColumn(HOME, F.lit(True))
 
-    def copies(reach: int, place: WindowSpec, targets: Column) -> DataFrame:
-        near = narrow.withColumn(_PLACE, F.row_number().over(place)).filter(F.col(_PLACE) <= reach)
+    def copies(reach: int, place: WindowSpec, targets: Column, last: bool) -> DataFrame:
+        near = narrow if reach < RANKED_BY_SPARK else outermost_rows(narrow, [*keys, BLOCK], order, reach, last)
+        near = near.withColumn(_PLACE, F.row_number().over(place)).filter(F.col(_PLACE) <= reach)
         to = sized.withColumn("__beside", F.lead(BLOCK).over(by_block)).withColumn(
             "__before", F.lag(BLOCK).over(by_block)
         )
@@ -159,12 +181,12 @@ def with_halo(
         by_end = Window.partitionBy(*keys).orderBy("__end").rangeBetween(0, back - 1)
         later = F.collect_list("__beside").over(by_end)
         place = in_block.orderBy(*(F.desc(c) for c in order))
-        result = result.unionByName(copies(back, place, later), allowMissingColumns=True)
+        result = result.unionByName(copies(back, place, later, True), allowMissingColumns=True)
     if ahead:
         by_start = Window.partitionBy(*keys).orderBy("__start").rangeBetween(1 - ahead, 0)
         earlier = F.collect_list("__before").over(by_start)
         place = in_block.orderBy(*order)
-        result = result.unionByName(copies(ahead, place, earlier), allowMissingColumns=True)
+        result = result.unionByName(copies(ahead, place, earlier, False), allowMissingColumns=True)
     return result
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.functions import checks, frames, names
+from rowsmith.functions import checks, exact, frames, names
 from rowsmith.functions.registry import rolling_aggregate
 from rowsmith.operators.blocks import (
     BLOCK,
@@ -22,6 +22,7 @@ from rowsmith.operators.blocks import (
     assign_blocks,
     carry_in,
     find_cuts,
+    measure,
     positional,
 )
 
@@ -95,18 +96,40 @@ def _cut_for(
     return find_cuts(df, keys, order, max(rows_per_block or ROWS_PER_BLOCK, *reach))
 
 
+def _measure(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    rows_per_block: int | None,
+    reach: tuple[int, int],
+    summed: Sequence[str],
+) -> tuple[Cuts | None, dict[str, exact.Digits]]:
+    """Cut points, and the digits of those columns whose sums would depend on the order of adding."""
+    doubles = [c for c in dict.fromkeys(summed) if exact.inexact(df.schema[c].dataType)]
+    if not doubles:
+        return _cut_for(df, keys, order, rows_per_block, reach), {}
+    return measure(df, keys, order, max(rows_per_block or ROWS_PER_BLOCK, *reach), doubles)
+
+
+def _summed(features: Sequence[Rolling]) -> list[str]:
+    return [f.column for f in features if rolling_aggregate(f.op) in ("sum", "mean")]
+
+
 def _roll(
     df: DataFrame,
     cuts: Cuts | None,
+    digits: dict[str, exact.Digits],
     features: Sequence[Rolling],
     keys: Sequence[str],
     order: Sequence[str],
     runs_from: int = frames.RUNS_FROM,
 ) -> DataFrame:
     types = {f.column: df.schema[f.column].dataType for f in features}
-    wanted = [
-        frames.Frame(f.output, f.column, types[f.column], rolling_aggregate(f.op), f.window, f.lag) for f in features
-    ]
+    wanted = []
+    for f in features:
+        op = rolling_aggregate(f.op)
+        own = digits.get(f.column) if op in ("sum", "mean") else None
+        wanted.append(frames.Frame(f.output, f.column, types[f.column], op, f.window, f.lag, own))
 
     def add(table: DataFrame, by: Sequence[str]) -> DataFrame:
         return frames.rolling(table, by, order, wanted, runs_from)
@@ -117,29 +140,38 @@ def _roll(
 def _accumulate(
     df: DataFrame,
     cuts: Cuts | None,
+    digits: dict[str, exact.Digits],
     outputs: dict[str, str],
     keys: Sequence[str],
     order: Sequence[str],
 ) -> DataFrame:
-    """Running totals, ``outputs`` mapping each new name to its column."""
-    if cuts is None:
-        spec = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({n: frames.running_sum(c, spec) for n, c in outputs.items()})
-    carried = {n: f"__carry_{i}" for i, n in enumerate(outputs)}
-    types = df.agg(*(F.sum(c).alias(n) for n, c in outputs.items())).schema
-    df = carry_in(df, cuts, {carried[n]: F.sum(c) for n, c in outputs.items()})
+    """Running totals, ``outputs`` mapping each new name to its column; ``digits`` those of double columns."""
+    pieces: dict[str, dict[str, Column]] = {}
+    for i, (n, c) in enumerate(outputs.items()):
+        values = exact.parts(F.col(c), digits[c]) if c in digits else [F.col(c)]
+        pieces[n] = {f"__sum_{i}_{k}": v for k, v in enumerate(values)}
+    carried = {n: f"__carry{n}" for made in pieces.values() for n in made} if cuts else {}
+    types = df.agg(*(F.sum(v).alias(p) for made in pieces.values() for p, v in made.items())).schema
+    if cuts:
+        df = carry_in(df, cuts, {carried[p]: F.sum(v) for made in pieces.values() for p, v in made.items()})
 
     def add(table: DataFrame, by: Sequence[str]) -> DataFrame:
         spec = Window.partitionBy(*by).orderBy(*order)
         total = {}
         for n, c in outputs.items():
-            running = frames.running_sum(c, spec)
-            earlier = F.col(carried[n])
-            joined = F.when(earlier.isNull(), running).otherwise(earlier + running)
-            total[n] = joined.cast(types[n].dataType)
+            for p, v in pieces[n].items():
+                running = frames.running_sum(c, spec, v)
+                if cuts:
+                    earlier = F.when(F.col(c).isNotNull(), F.col(carried[p]))
+                    running = F.coalesce(earlier + running, running, earlier).cast(types[p].dataType)
+                total[p if c in digits else n] = running
         return table.withColumns(total)
 
-    return positional(df, cuts, keys, order, [], 0, 0, add).drop(*carried.values())
+    df = positional(df, cuts, keys, order, [], 0, 0, add).drop(*carried.values())
+    if digits:
+        exactly = {n: (list(pieces[n]), digits[c]) for n, c in outputs.items() if c in digits}
+        df = exact.totals(df, exactly).drop(*(p for names_, _ in exactly.values() for p in names_))
+    return df
 
 
 def rolling(
@@ -155,12 +187,14 @@ def rolling(
 
     ``measured`` is a cheaper table with the same keys and order, to count instead of ``df``.
     Windows of ``runs_from`` rows or more are computed in runs, at a cost that does not depend on the
-    window; exact types give the same results either way.
+    window, with the same results. Sums and means of doubles come from exact sums, rounded once.
     """
     _check_rolling(df, features, partition_by, order_by, lead=not partition_by)
-    cuts = _cut_for(measured or df, partition_by, order_by, rows_per_block, _reach(features))
+    cuts, digits = _measure(
+        measured or df, partition_by, order_by, rows_per_block, _reach(features), _summed(features)
+    )
     blocked = assign_blocks(df, cuts) if cuts else df
-    return _roll(blocked, cuts, features, partition_by, order_by, runs_from).drop(BLOCK, CUT)
+    return _roll(blocked, cuts, digits, features, partition_by, order_by, runs_from).drop(BLOCK, CUT)
 
 
 def rolling_over_self(
@@ -183,17 +217,22 @@ def rolling_cumulative(
     partition_by: Sequence[str],
     rows_per_block: int | None = None,
 ) -> DataFrame:
-    """Running total, within the key, of a shifted rolling feature."""
+    """Running total, within the key, of a shifted rolling feature; of doubles from exact sums, rounded once."""
     checks.require_columns(df, partition_by)
     _check_rolling(df, features, partition_by, order_by, lead=False)
-    cuts = _cut_for(df, partition_by, order_by, rows_per_block, _reach(features))
+    cuts, digits = _measure(df, partition_by, order_by, rows_per_block, _reach(features), [f.column for f in features])
     inner = [
         Rolling(f.column, f.window, f.lag, f.op, f"__rolled_{i}") for i, f in enumerate(features)
     ]
     blocked = assign_blocks(df, cuts) if cuts else df
-    rolled = _roll(blocked, cuts, inner, partition_by, order_by)
+    rolled = _roll(blocked, cuts, digits, inner, partition_by, order_by)
     outputs = {f.output: i.output for f, i in zip(features, inner)}
-    summed = _accumulate(rolled, cuts, outputs, partition_by, order_by)
+    of_rolled = {
+        i.output: exact.of_rolling(df.schema[i.column].dataType, digits.get(i.column), rolling_aggregate(i.op), i.window)
+        for i in inner
+        if exact.inexact(rolled.schema[i.output].dataType)
+    }
+    summed = _accumulate(rolled, cuts, of_rolled, outputs, partition_by, order_by)
     return summed.drop(BLOCK, CUT, *outputs.values())
 
 
@@ -205,13 +244,13 @@ def cumulative_sum(
     rows_per_block: int | None = None,
     measured: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the running total of each column; ``measured`` as for ``rolling``."""
+    """Add the running total of each column, of doubles from exact sums; ``measured`` as for ``rolling``."""
     _check(df, columns, partition_by, order_by)
     outputs = {names.derived(names.CUMULATIVE, c): c for c in columns}
     checks.require_new_names(df, list(outputs))
-    cuts = find_cuts(measured or df, partition_by, order_by, rows_per_block)
+    cuts, digits = _measure(measured or df, partition_by, order_by, rows_per_block, (0, 0), columns)
     blocked = assign_blocks(df, cuts) if cuts else df
-    return _accumulate(blocked, cuts, outputs, partition_by, order_by).drop(BLOCK, CUT)
+    return _accumulate(blocked, cuts, digits, outputs, partition_by, order_by).drop(BLOCK, CUT)
 
 
 def shift(
