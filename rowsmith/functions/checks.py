@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 
@@ -87,6 +88,20 @@ def require_rows(df: DataFrame) -> DataFrame:
     return df
 
 
+def asserting_rows(result: DataFrame, *sources: DataFrame) -> DataFrame:
+    """The same result, failing the job that computes it if one of its sources has no rows; no job of its own.
+
+    The assertion is a branch of the plan without rows, which looks at the first row of each part of a source. To
+    be evaluated in any case it comes last: a filter on top of it could make it superfluous.
+    """
+    none = F.raise_error(F.lit("the table has no rows")).cast("boolean")
+    for source in sources:
+        rows = source.select(F.lit(1).alias("one")).limit(1).agg(F.count("one").alias("n"))
+        empty = rows.filter(F.when(F.col("n") == 0, none).otherwise(F.col("n") > 1))
+        result = result.union(empty.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in result.schema)))
+    return result
+
+
 def require_suffix(path: str, allowed: Sequence[str]) -> None:
     if not path.rstrip("/").endswith(tuple(allowed)):
         raise ValueError(f"{path} must end in {' or '.join(allowed)}")

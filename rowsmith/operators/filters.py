@@ -32,6 +32,11 @@ def even_values(values: Column, ordered: bool = False) -> Column:
 
 
 def latest_lists(df: DataFrame, name: str, section: str, values: str) -> DataFrame:
-    """One list per name: the one of the highest section replaces the earlier ones."""
+    """One list per name: the one of the highest section replaces the earlier ones.
+
+    Of several lists of the highest section it is the one with the greatest hash, and of equal hashes the
+    greatest list: always the same one, in whatever order the rows come.
+    """
     checks.require_columns(df, [name, section, values])
-    return df.groupBy(name).agg(F.max_by(values, section).alias(values))
+    order = F.struct(F.col(section), F.xxhash64(values), F.col(values))
+    return df.groupBy(name).agg(F.max_by(values, F.when(F.col(section).isNotNull(), order)).alias(values))

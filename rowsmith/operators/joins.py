@@ -16,7 +16,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DoubleType,
+    FloatType,
+    MapType,
+    NumericType,
+    StructType,
+    VariantType,
+)
 
 from rowsmith.functions import checks
 from rowsmith.operators.labels import sql_predicates, threshold_if_present
@@ -26,7 +35,7 @@ MAX_LARGE_KEYS = 16_384
 
 HOW = {"inner": "inner", "left": "left", "right": "right", "outer": "full", "full": "full"}
 
-_SALT, _SALTS, _ON_LEFT = "__salt", "__salts", "__on_left"
+_SALT, _SALTS, _ON_LEFT, _COPIES = "__salt", "__salts", "__on_left", "__copies"
 
 
 def join(
@@ -69,7 +78,8 @@ def join_partitioned(
     A fixed number of partitions is out of adaptive execution's reach, so a large key is salted
     here: its rows on the larger side are spread over several partitions by a hash of their other
     columns, and its rows on the other side are copied to each of them. Rows that are equal in all
-    columns stay together.
+    columns travel as one row with their number, in shares of at most ``rows_per_task``, each with a
+    salt of its own, and become so many rows again after the join.
     """
     if num_partitions is None:
         return join(left, right, on, how, suffix, coalesce_keys, rows_per_task)
@@ -86,14 +96,18 @@ def join_partitioned(
 
     limit = max(limit, *(math.ceil(total / MAX_LARGE_KEYS) for total, _ in sizes))
     salts = F.broadcast(_salts(left, right, keys, limit))
-    salted_left = _salted(left, salts, keys, keys, spread_here=F.col(_ON_LEFT))
-    salted_right = _salted(right, salts, keys, _mates(keys), spread_here=~F.col(_ON_LEFT))
-    salted_right = salted_right.withColumnRenamed(_SALT, f"__mate{_SALT}")
+    salted_left = _salted(left, salts, keys, keys, F.col(_ON_LEFT), limit)
+    salted_right = _salted(right, salts, keys, _mates(keys), ~F.col(_ON_LEFT), limit)
+    salted_right = salted_right.withColumnsRenamed({_SALT: f"__mate{_SALT}", _COPIES: f"__mate{_COPIES}"})
     inner = _spread(salted_left, num_partitions, [*keys, _SALT]).join(
         _spread(salted_right, num_partitions, [*_mates(keys), f"__mate{_SALT}"]),
         [*_matching(keys), F.col(_SALT) == F.col(f"__mate{_SALT}")],
         "inner",
-    ).drop(_SALT, f"__mate{_SALT}")
+    )
+    copies = F.array_repeat(F.lit(0), (F.col(_COPIES) * F.col(f"__mate{_COPIES}")).cast("int"))
+    inner = inner.withColumn("__copy", F.explode(copies)).drop(
+        _SALT, f"__mate{_SALT}", _COPIES, f"__mate{_COPIES}", "__copy"
+    )
     joined = _with_unmatched(inner, left, right, keys, how)
     return _named(joined, left, right, keys, how, suffix, coalesce_keys)
 
@@ -239,21 +253,65 @@ def _salts(left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int) -
 
 
 def _salted(
-    df: DataFrame, salts: DataFrame, keys: Sequence[str], own: Sequence[str], spread_here: Column
+    df: DataFrame, salts: DataFrame, keys: Sequence[str], own: Sequence[str], spread_here: Column, limit: int
 ) -> DataFrame:
-    """Add a salt: one per row where the key's rows are spread, all of them where they are copied.
+    """Add a salt and a number of copies: rows of large keys are spread over the salts here, or sent to all of them.
 
-    A row's salt is a hash of its columns, so it depends neither on where the row was before nor on
-    which task computes it.
+    A spread row's salt is a hash of its columns and of its share of the equal rows, so it depends neither
+    on where the row was before nor on which task computes it.
     """
     match = salts.withColumnsRenamed({k: f"__large_{k}" for k in keys})
     same = [F.col(o) == F.col(f"__large_{k}") for o, k in zip(own, keys)]
-    piece = F.xxhash64(*(F.col(c) for c in df.columns))
-    choices = (
-        F.when(F.col(_SALTS).isNull(), F.array(F.lit(0)))
-        .when(spread_here, F.array(F.pmod("__piece", _SALTS).cast("int")))
-        .otherwise(F.sequence(F.lit(0), F.col(_SALTS) - 1))
+    tagged = df.join(match, same, "left")
+    to_spread = F.col(_SALTS).isNotNull() & spread_here
+    choices = F.when(F.col(_SALTS).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col(_SALTS) - 1))
+    copied = tagged.filter(~F.coalesce(to_spread, F.lit(False))).withColumn(_SALT, F.explode(choices))
+    copied = copied.select(*df.columns, _SALT, F.lit(1).cast("bigint").alias(_COPIES))
+    large = tagged.filter(to_spread)
+    packed = {f.name: _groupable(f.dataType, F.col(f.name)) for f in df.schema}
+    if any(v is None for v in packed.values()):
+        # Values that can't be grouped: every row for itself, by a hash of the others.
+        plain = [v for v in packed.values() if v is not None]
+        piece = F.pmod(F.xxhash64(*plain), F.col(_SALTS)).cast("int")
+        spread = large.withColumn(_SALT, piece).select(*df.columns, _SALT, F.lit(1).cast("bigint").alias(_COPIES))
+        return copied.unionByName(spread)
+    counted = large.select(*(v.alias(c) for c, v in packed.items()), _SALTS)
+    counted = counted.groupBy(*df.columns, _SALTS).agg(F.count(F.lit(1)).alias("__n"))
+    shares = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__n") - 1) / limit))
+    shared = counted.withColumn("__share", F.explode(shares)).withColumns(
+        {
+            _COPIES: F.least(F.lit(limit), F.col("__n") - F.col("__share") * limit).cast("bigint"),
+            _SALT: F.pmod(F.xxhash64(*df.columns, "__share"), F.col(_SALTS)).cast("int"),
+        }
     )
-    tagged = df.withColumn("__piece", piece).join(match, same, "left")
-    salted = tagged.withColumn(_SALT, F.explode(choices))
-    return salted.select(*df.columns, _SALT)
+    restored = [_restored(f.dataType, F.col(f.name)).alias(f.name) for f in df.schema]
+    return copied.unionByName(shared.select(*restored, _SALT, _COPIES))
+
+
+def _groupable(dtype: DataType, value: Column) -> Column | None:
+    """The value in a form that Spark can group by and restore exactly, or None if there is no such form.
+
+    Maps become sorted entries. Floating-point numbers become text, as grouping would merge 0.0 and -0.0.
+    """
+    if isinstance(dtype, (FloatType, DoubleType)):
+        return value.cast("string")
+    if isinstance(dtype, MapType):
+        if _nested(dtype.keyType) or _nested(dtype.valueType):
+            return None
+        return F.array_sort(F.map_entries(value))
+    return None if _nested(dtype) else value
+
+
+def _nested(dtype: DataType) -> bool:
+    """Whether a map or a variant lies anywhere in the type."""
+    if isinstance(dtype, StructType):
+        return any(_nested(f.dataType) for f in dtype)
+    if isinstance(dtype, ArrayType):
+        return _nested(dtype.elementType)
+    return isinstance(dtype, (MapType, VariantType))
+
+
+def _restored(dtype: DataType, value: Column) -> Column:
+    if isinstance(dtype, MapType):
+        return F.map_from_entries(value)
+    return value.cast(dtype) if isinstance(dtype, (FloatType, DoubleType)) else value

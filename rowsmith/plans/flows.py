@@ -83,11 +83,22 @@ def _exactly(tables: Sequence[DataFrame], n: int) -> Sequence[DataFrame]:
     return tables
 
 
+def _asserted(result: DataFrame, require_rows: bool, *sources: DataFrame) -> DataFrame:
+    """With ``require_rows`` the flow's own job fails if a source is empty, and the target stays as it was."""
+    return checks.asserting_rows(result, *sources) if require_rows else result
+
+
 def transform_table(
-    spark: SparkSession, source: str, target: str, transform: Transform, schema: Schema = None
+    spark: SparkSession,
+    source: str,
+    target: str,
+    transform: Transform,
+    schema: Schema = None,
+    require_rows: bool = False,
 ) -> str:
     """Read one table, transform it, replace the target."""
-    return writers.write_parquet(transform(readers.read_table(spark, source, schema)), target)
+    df = readers.read_table(spark, source, schema)
+    return writers.write_parquet(_asserted(transform(df), require_rows, df), target)
 
 
 def filter_group(
@@ -100,10 +111,11 @@ def filter_group(
     column: str,
     op: str = "sum",
     schema: Schema = None,
+    require_rows: bool = False,
 ) -> str:
     return transform_table(
         spark, source, target,
-        lambda df: aggregates.filter_then_group(df, where, value, by, column, op), schema,
+        lambda df: aggregates.filter_then_group(df, where, value, by, column, op), schema, require_rows,
     )
 
 
@@ -117,21 +129,27 @@ def rolling_columns(
     order_by: Sequence[str],
     schema: Schema = None,
     rows_per_block: int | None = None,
+    require_rows: bool = False,
 ) -> str:
     """Whole-table rolling mean of each column, with one window and lag for all."""
     n = len(columns)
     wanted = windows.rolling_list(columns, [window] * n, [lag] * n, "rolling_mean", names.ROLLING)
     return transform_table(
         spark, source, target,
-        lambda df: windows.rolling(df, wanted, order_by, rows_per_block=rows_per_block), schema,
+        lambda df: windows.rolling(df, wanted, order_by, rows_per_block=rows_per_block), schema, require_rows,
     )
 
 
 def normalize_column(
-    spark: SparkSession, source: str, target: str, column: str, schema: Schema = None
+    spark: SparkSession,
+    source: str,
+    target: str,
+    column: str,
+    schema: Schema = None,
+    require_rows: bool = False,
 ) -> str:
     return transform_table(
-        spark, source, target, lambda df: scaling.normalize(df, column), schema
+        spark, source, target, lambda df: scaling.normalize(df, column), schema, require_rows
     )
 
 
@@ -143,10 +161,11 @@ def join_tables(
     how: str = "inner",
     missing: str = "error",
     schemas: Sequence[Schema] | None = None,
+    require_rows: bool = False,
 ) -> str:
     tables = readers.read_tables(spark, sources, schemas, missing)
     left, right = checks.require_two_tables(tables)
-    return writers.write_parquet(joins.join(left, right, on, how), target)
+    return writers.write_parquet(_asserted(joins.join(left, right, on, how), require_rows, left, right), target)
 
 
 def features_by_strategy(
@@ -156,9 +175,11 @@ def features_by_strategy(
     strategy: Strategy,
     partition_by: str | None = None,
     schemas: Sequence[Schema] | None = None,
+    require_rows: bool = False,
 ) -> str:
     """Apply one strategy and write zstd Parquet, in folders of ``partition_by`` if given."""
-    result = strategy.apply(readers.read_tables(spark, sources, schemas))
+    tables = readers.read_tables(spark, sources, schemas)
+    result = _asserted(strategy.apply(tables), require_rows, *tables)
     if partition_by:
         return writers.write_partitioned(result, target, [partition_by])
     return writers.write_parquet(result, target, compression="zstd")
@@ -176,15 +197,21 @@ def rolling_cumulative(
     partition_by: Sequence[str],
     rows_per_file: int | None = None,
     parts: int | None = None,
+    rows_per_group: int | None = None,
     schema: Schema = None,
+    require_rows: bool = False,
 ) -> str:
-    """Running totals of rolling features, as ``parts`` files or files of ``rows_per_file`` rows."""
+    """Running totals of rolling features, as ``parts`` files or files of ``rows_per_file`` rows.
+
+    Files have row groups of ``rows_per_group`` rows.
+    """
     df = readers.read_table(spark, source, schema)
     wanted = windows.rolling_list(columns, window_sizes, lags, op)
     result = windows.rolling_cumulative(df, wanted, order_by, partition_by)
+    result = _asserted(result, require_rows, df)
     if parts:
-        return writers.write_parts(result, target, parts, rows_per_file=rows_per_file)
-    return writers.write_parquet(result, target, compression="zstd", rows_per_file=rows_per_file)
+        return writers.write_parts(result, target, parts, rows_per_file=rows_per_file, rows_per_group=rows_per_group)
+    return writers.write_zstd(result, target, rows_per_file, rows_per_group=rows_per_group)
 
 
 def feature_bundle(
@@ -198,6 +225,7 @@ def feature_bundle(
     order_by: Sequence[str],
     partition_by: Sequence[str],
     schema: Schema = None,
+    require_rows: bool = False,
 ) -> str:
     return transform_table(
         spark, source, target,
@@ -205,6 +233,7 @@ def feature_bundle(
             df, columns, window_sizes, lags, rank_method, order_by, partition_by
         ),
         schema,
+        require_rows,
     )
 
 
@@ -219,6 +248,7 @@ def label_and_join(
     partitioned: bool = False,
     num_partitions: int | None = None,
     schemas: Sequence[Schema] | None = None,
+    require_rows: bool = False,
 ) -> str:
     """Threshold-label, join (``partitioned``: into a fixed number of partitions), and write a new table."""
     left, right = checks.require_two_tables(readers.read_tables(spark, sources, schemas))
@@ -226,6 +256,7 @@ def label_and_join(
     joined = joins.label_both_then_join(
         left, right, on, how, label_column, num_partitions, partitioned
     )
+    joined = _asserted(joined, require_rows, left, right)
     return writers.write_parquet(joined, target, "errorifexists", "zstd", rows_per_file)
 
 
@@ -238,6 +269,7 @@ def scale_or_aggregate(
     aggregate: str | None = None,
     rows_per_file: int | None = None,
     schema: Schema = None,
+    require_rows: bool = False,
 ) -> str:
     """Guarded scaling by ``scaler``, or one whole-table ``aggregate`` of all columns."""
     if (scaler is None) == (aggregate is None):
@@ -247,6 +279,7 @@ def scale_or_aggregate(
         result = scaling.guarded(df, columns, scaler)
     else:
         result = aggregates.spread(df, columns, aggregate)
+    result = _asserted(result, require_rows, df)
     return writers.write_parquet(result, target, compression="zstd", rows_per_file=rows_per_file)
 
 
@@ -262,10 +295,12 @@ def multi_stage(
     aggregate_column: str,
     aggregate_op: str,
     schema: Schema = None,
+    require_rows: bool = False,
 ) -> str:
     """Drop nulls, roll over a key, aggregate per group, and write a table that must not exist yet."""
     df = readers.read_table(spark, source, schema)
     result = features.clean_roll_group(
         df, not_null, feature, over, order_by, group_by, aggregate_column, aggregate_op
     )
+    result = _asserted(result, require_rows, df)
     return writers.write_parquet(result, target, "errorifexists")

@@ -101,6 +101,39 @@ _FEATURE_BUNDLE = f"""WITH {_EVENTS}
         g AS (PARTITION BY user_id ORDER BY ts, event_id
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 
+# The doubles of the exact sums as whole numbers of 2**-20: added exactly, and rounded once by reading their digits.
+_DOUBLES = """ev AS (
+    SELECT event_id, ts, user_id, event_type,
+           CAST(ROUND(value * 100) AS HUGEINT) * CAST(POW(2, event_id % 40) AS HUGEINT) AS h
+    FROM events)"""
+
+
+def _nearest(whole: str) -> str:
+    return f"CAST(CAST({whole} AS VARCHAR) AS DOUBLE)"
+
+
+_X = f"{_nearest('h')} / 1048576.0 AS x"
+
+
+def _double_rolling(window: int) -> str:
+    total = _nearest("SUM(h) OVER f")
+    return f"""WITH {_DOUBLES} SELECT event_id, user_id, {_X},
+        CASE WHEN COUNT(h) OVER f >= {window} THEN {total} / 1048576.0 / {window} END AS rolling_mean_x
+        FROM ev WINDOW f AS (PARTITION BY event_type ORDER BY ts, event_id
+            ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)"""
+
+
+_DOUBLE_CUMSUM = f"""WITH {_DOUBLES} SELECT event_id, user_id, {_X},
+    {_nearest('SUM(h) OVER (PARTITION BY event_type ORDER BY ts, event_id)')} / 1048576.0 AS "Acumulacion_x" FROM ev"""
+
+_DOUBLE_ROLLING_CUMSUM = f"""WITH {_DOUBLES}, rolled AS (
+        SELECT *, CASE WHEN COUNT(h) OVER f >= 4 THEN CAST({_nearest("SUM(h) OVER f")} AS HUGEINT) END AS r
+        FROM ev WINDOW f AS (PARTITION BY event_type ORDER BY ts, event_id
+            ROWS BETWEEN 5 PRECEDING AND 2 PRECEDING))
+    SELECT event_id, user_id, {_X}, CASE WHEN r IS NOT NULL THEN
+        {_nearest("SUM(r) OVER (PARTITION BY event_type ORDER BY ts, event_id)")} / 4194304.0 END AS rolling_mean_x
+    FROM rolled"""
+
 ORACLE: dict[str, str] = {
     "src_csv": "SELECT * FROM customer",
     "src_csv_inferred": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
@@ -114,6 +147,24 @@ ORACLE: dict[str, str] = {
     "sink_parquet": _PLAIN_EVENTS,
     "sink_parquet_zstd": _PLAIN_EVENTS,
     "sink_n_parts": _PLAIN_EVENTS,
+    "sink_row_groups": """SELECT CAST(COUNT(*) AS BIGINT) AS row_count, LEAST(COUNT(*), 50) AS largest,
+        CAST(0 AS BIGINT) AS short_inside FROM events""",
+    "sink_counted": "SELECT COUNT(*) AS written, COUNT(*) AS row_count FROM events",
+    "flow_require_rows": """SELECT p_brand, CAST(SUM(p_size) AS BIGINT) AS "Total_Edad"
+        FROM part WHERE p_size = 30 GROUP BY p_brand""",
+    "map_batches_sized": """SELECT size AS batch_size, COUNT(*) AS row_count, LEAST(COUNT(*), size) AS largest
+        FROM events, (VALUES (100), (37)) AS sizes(size) GROUP BY size""",
+    "join_partitioned_equal_rows": """SELECT user_id, event_type, c_name
+        FROM events LEFT JOIN customer ON user_id = c_custkey""",
+    "group_sum_double": f"""WITH {_DOUBLES} SELECT event_type, {_nearest('SUM(h)')} / 1048576.0 AS sum_x
+        FROM ev GROUP BY event_type""",
+    "group_mean_double": f"""WITH {_DOUBLES} SELECT user_id, {_nearest('SUM(h)')} / 1048576.0 / COUNT(*) AS mean_x
+        FROM ev GROUP BY user_id""",
+    **{f"cumsum_double_by_{k}": _DOUBLE_CUMSUM for k in ("key", "large_key")},
+    **{f"rolling_mean_double_by_{k}": _double_rolling(4) for k in ("key", "large_key")},
+    **{f"rolling_mean_double_in_runs_by_{k}": _double_rolling(128) for k in ("key", "large_key")},
+    **{f"rolling_mean_cumsum_double_by_{k}": _DOUBLE_ROLLING_CUMSUM for k in ("key", "large_key")},
+    "rolling_sum_long_reach_blocks": _rolling("sum", 1_500, 0, None, "Rolling_cents", _EVENTS),
     "sink_partitioned": f"WITH {_EVENTS} SELECT event_id, user_id, cents, event_type FROM ev",
     "sink_keep_existing": _PLAIN_EVENTS,
     "label_threshold": """SELECT l_orderkey, l_linenumber, l_quantity,

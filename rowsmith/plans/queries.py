@@ -8,7 +8,7 @@ from collections.abc import Callable
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowsmith.functions import names
@@ -139,6 +139,37 @@ def sink_parquet_zstd(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_parquet(spark, path)
 
 
+@query
+def sink_row_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, the largest row group, and row groups that are short without being a file's last, from the footers."""
+    path = _parquet_path(spark, "events")
+    writers.write_zstd(kept(events(spark, sf)), path, rows_per_group=50)
+    in_file = Window.partitionBy("file").orderBy(F.desc("row_group"))
+    groups = readers.row_groups(spark, path).withColumn("from_last", F.row_number().over(in_file))
+    return groups.agg(
+        F.sum("rows").alias("row_count"),
+        F.max("rows").alias("largest"),
+        F.count_if((F.col("rows") < 50) & (F.col("from_last") > 1)).alias("short_inside"),
+    )
+
+
+@query
+def sink_counted(spark: SparkSession, sf: str) -> DataFrame:
+    path = _parquet_path(spark, "events")
+    written = writers.write_counted(kept(events(spark, sf)), path)
+    return readers.read_parquet(spark, path).agg(
+        F.lit(written).cast("bigint").alias("written"), F.count(F.lit(1)).alias("row_count")
+    )
+
+
+@query
+def flow_require_rows(spark: SparkSession, sf: str) -> DataFrame:
+    path = flows.filter_group(
+        spark, f"{sf}/part.parquet", _parquet_path(spark, "sums"), "p_size", 30, ["p_brand"], "p_size", require_rows=True
+    )
+    return readers.read_parquet(spark, path)
+
+
 @query
 def sink_n_parts(spark: SparkSession, sf: str) -> DataFrame:
     path = _parquet_path(spark, "events")
@@ -297,6 +328,13 @@ def join_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     return joins.join_partitioned(orders, customer, "c_custkey")
 
 
+@query
+def join_partitioned_equal_rows(spark: SparkSession, sf: str) -> DataFrame:
+    visits = table(spark, sf, "events").select("user_id", "event_type")
+    customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")
+    return joins.join_partitioned(visits, customer, "user_id", "left", 8, rows_per_task=20)
+
+
 @query
 def join_partitioned_large_keys(spark: SparkSession, sf: str) -> DataFrame:
     sides = _events_of_users(spark, sf), _customers(spark, sf)
@@ -509,6 +547,56 @@ QUERIES["feature_bundle"] = _bundle()
 QUERIES["feature_bundle_blocks"] = _bundle(ROWS_PER_BLOCK)
 
 
+# Doubles of very different sizes: their sums depend on the order of adding, unless they are exact.
+
+
+def double_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with ``x``, the cents times a power of two from -20 to 19."""
+    power = F.pow(F.lit(2.0), F.col("event_id") % 40 - 20)
+    return events(spark, sf).withColumn("x", F.col("cents").cast("double") * power).drop("cents")
+
+
+@query
+def group_sum_double(spark: SparkSession, sf: str) -> DataFrame:
+    return aggregates.group(double_events(spark, sf), ["event_type"], "x", "sum", exactly=True)
+
+
+@query
+def group_mean_double(spark: SparkSession, sf: str) -> DataFrame:
+    return aggregates.group(double_events(spark, sf), ["user_id"], "x", "mean", exactly=True)
+
+
+def _double_cumsum(rows: int | None) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return kept(windows.cumulative_sum(double_events(spark, sf), ["x"], ORDER, ["event_type"], rows))
+
+    return run
+
+
+def _double_rolling(window: int, rows: int | None) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        feature = Rolling("x", window, 0, "rolling_mean")
+        return kept(windows.rolling(double_events(spark, sf), [feature], ORDER, ["event_type"], rows))
+
+    return run
+
+
+def _double_rolling_cumsum(rows: int | None) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        feature = Rolling("x", 4, 2, "rolling_mean")
+        return kept(windows.rolling_cumulative(double_events(spark, sf), [feature], ORDER, ["event_type"], rows))
+
+    return run
+
+
+for _suffix, _rows in (("key", None), ("large_key", ROWS_PER_KEY_BLOCK)):
+    QUERIES[f"cumsum_double_by_{_suffix}"] = _double_cumsum(_rows)
+    QUERIES[f"rolling_mean_double_by_{_suffix}"] = _double_rolling(4, _rows)
+    QUERIES[f"rolling_mean_double_in_runs_by_{_suffix}"] = _double_rolling(128, _rows)
+    QUERIES[f"rolling_mean_cumsum_double_by_{_suffix}"] = _double_rolling_cumsum(_rows)
+QUERIES["rolling_sum_long_reach_blocks"] = _whole_table(1_500, 0, "rolling_sum", 2_000)
+
+
 # Scaling
 
 
@@ -585,6 +673,23 @@ def map_batches_arrow(spark: SparkSession, sf: str) -> DataFrame:
     return arrow_ops.map_batches(data, _doubled, "event_id bigint, cents bigint, doubled bigint")
 
 
+def _batch_rows(batch: pa.Table) -> pa.Table:
+    return pa.table({"n": pa.array([batch.num_rows], pa.int64())})
+
+
+@query
+def map_batches_sized(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and the largest batch that a function gets, for two batch sizes."""
+    data = events(spark, sf).select("event_id", "cents")
+    parts = [
+        arrow_ops.map_batches(data, _batch_rows, "n bigint", batch_size=size).agg(
+            F.lit(size).alias("batch_size"), F.sum("n").alias("row_count"), F.max("n").alias("largest")
+        )
+        for size in (100, 37)
+    ]
+    return parts[0].union(parts[1])
+
+
 def _mean_of_group(batches):
     total, rows, user = 0, 0, None
     for batch in batches:

@@ -84,3 +84,22 @@ def _found(read: Callable[[], DataFrame], path: str) -> DataFrame:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no such table: {path}") from e
         raise
+
+
+def row_groups(spark: SparkSession, path: str) -> DataFrame:
+    """File name, number and rows of each row group of a Parquet table, from the files' footers alone."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(conf).listFiles(folder, True)
+    found = []
+    while listed.hasNext():
+        file = listed.next().getPath()
+        if not file.getName().endswith(".parquet"):
+            continue
+        source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(file, conf)
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+        try:
+            found += [(file.getName(), i, g.getRowCount()) for i, g in enumerate(reader.getRowGroups())]
+        finally:
+            reader.close()
+    return spark.createDataFrame(found, "file string, row_group int, rows bigint")

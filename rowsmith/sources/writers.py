@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rowsmith.functions import checks
@@ -18,23 +19,38 @@ def write_parquet(
     mode: str = "overwrite",
     compression: str = "snappy",
     rows_per_file: int | None = None,
+    rows_per_group: int | None = None,
 ) -> str:
-    """Write a Parquet table.
+    """Write a Parquet table, at most ``rows_per_file`` rows a file and ``rows_per_group`` a row group.
 
     ``mode`` says what happens to an existing one: replaced (``overwrite``), refused
     (``errorifexists``), or left as it is without writing (``ignore``).
     """
     _check(path, mode)
     writer = df.write.mode(mode).option("compression", compression)
-    if rows_per_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    for name, rows in (("maxRecordsPerFile", rows_per_file), ("parquet.block.row.count.limit", rows_per_group)):
+        if rows is not None:
+            if rows < 1:
+                raise ValueError(f"rows per file or group must be at least 1, got {rows}")
+            writer = writer.option(name, rows)
     writer.parquet(path)
     return path
 
 
-def write_zstd(df: DataFrame, path: str, rows_per_file: int, mode: str = "overwrite") -> str:
-    """Write zstd Parquet in files of at most ``rows_per_file`` rows."""
-    return write_parquet(df, path, mode, "zstd", rows_per_file)
+def write_counted(df: DataFrame, path: str, mode: str = "overwrite", **options: Any) -> int:
+    """``write_parquet``, and how many rows it wrote: a metric of the write itself, without another scan."""
+    if mode == "ignore":
+        raise ValueError("mode ignore may write nothing, so there is nothing to count")
+    seen = Observation()
+    write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode, **options)
+    return seen.get["rows"]
+
+
+def write_zstd(
+    df: DataFrame, path: str, rows_per_file: int | None = None, mode: str = "overwrite", rows_per_group: int | None = None
+) -> str:
+    """Write zstd Parquet in files of at most ``rows_per_file`` rows, in row groups of ``rows_per_group``."""
+    return write_parquet(df, path, mode, "zstd", rows_per_file, rows_per_group)
 
 
 def write_partitioned(
@@ -59,11 +75,12 @@ def write_parts(
     mode: str = "overwrite",
     compression: str = "zstd",
     rows_per_file: int | None = None,
+    rows_per_group: int | None = None,
 ) -> str:
     """Write ``parts`` files of nearly equal size."""
     if parts < 1:
         raise ValueError(f"parts must be at least 1, got {parts}")
-    return write_parquet(df.repartition(parts), path, mode, compression, rows_per_file)
+    return write_parquet(df.repartition(parts), path, mode, compression, rows_per_file, rows_per_group)
 
 
 def _check(path: str, mode: str) -> None:
