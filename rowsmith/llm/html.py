@@ -1,15 +1,18 @@
 """Main text of web pages by site style trees.
 
 The pages of one host are merged into one tree: a node is a path of tags with their classes, and it
-keeps how often it shows which sequence of children (presentation) and which text (content). A node
-whose presentation and content hardly change over the pages of its host, by entropy, has low
-importance; an inner node's importance also has that of its children, by how often they show. Pages
-drop branches of low importance.
+keeps how often it shows which sequence of children (presentation) and which text (content). The
+entropy of a feature over the pages of its host, relative to that of one on all pages, says how far it belongs to the
+site rather than to a page; a node's importance is 1 less the mean of its features. A branch is as
+important as the most important node in it. Pages drop branches of low importance.
+
+The relative entropy has PRIOR more pages in its base, so that few pages prove little: no number of pages is
+a bound, and more pages of one template lower the importance of what they share, never of what differs.
 
 Roles that markup states are priors of the importance: menus, footers, adverts, forms, comments and
 the like (NOISE_TAGS, NOISE_NAMES) have importance 0 however varied they are, and what stands in an
-article keeps importance 1 even if several pages have the same article. Entropy decides about all
-other nodes, on hosts with at least MIN_PAGES distinct pages that show them.
+article keeps importance 1, with all nodes around it, even if several pages have the same article. Entropy decides
+about all other nodes.
 
 Counts are keyed by host, path and feature, so that a host with a large share of all pages is spread
 over its features and combined before the shuffle. What a host's tree holds after that is its
@@ -30,9 +33,8 @@ from pyspark.sql import functions as F
 
 from rowsmith.llm.text import slices, split_rows
 
-MIN_PAGES = 5
+PRIOR = 3
 LOW = 0.3
-DAMPING = 0.9
 
 # HTML elements by kind, and words in class, id and role that name a part of a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -165,13 +167,21 @@ def main_text(page: str, low: set[int]) -> str:
     """Text of a page without branches of noise or of low importance, a line for each block."""
     nodes, pieces = parse(page)
     dropped: dict[int, bool] = {}
+    around: set[int] = set()
+    for node in nodes:
+        if node.content and not node.noise:
+            above = node.parent
+            while above is not None and id(above) not in around:
+                around.add(id(above))
+                above = above.parent
 
     def drop(node: Node | None) -> bool:
         if node is None:
             return False
         known = dropped.get(id(node))
         if known is None:
-            known = node.noise or drop(node.parent) or (not node.content and path_hash(node.path) in low)
+            kept = node.content or id(node) in around
+            known = node.noise or drop(node.parent) or (not kept and path_hash(node.path) in low)
             dropped[id(node)] = known
         return known
 
@@ -222,13 +232,14 @@ def _hash(text: str) -> int:
 
 
 def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Host, node, parent, kind of feature (0 presentation, 1 content, 2 page), feature, times."""
+    """Host, node, parent, kind of feature (0 presentation, 1 content, 2 page), feature, times, pages that have it."""
     for batch in slices(batches, 1):
         seen: dict[tuple, int] = {}
+        having: dict[tuple, int] = {}
         for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             site = host(url)
             hashes: dict[tuple, int] = {}
-            shown: set[int] = set()
+            here: dict[tuple, int] = {}
             for node in parse(page or "")[0]:
                 path = hashes.get(node.path)
                 if path is None:
@@ -240,21 +251,25 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     features.append((1, _hash(text)))
                 for kind, value in features:
                     key = (site, path, parent, kind, value)
-                    seen[key] = seen.get(key, 0) + 1
-                if path not in shown:
-                    shown.add(path)
-                    key = (site, path, parent, 2, 0)
-                    seen[key] = seen.get(key, 0) + 1
+                    here[key] = here.get(key, 0) + 1
+                here[site, path, parent, 2, 0] = 1
+            for key, n in here.items():
+                seen[key] = seen.get(key, 0) + n
+                having[key] = having.get(key, 0) + 1
         columns = list(zip(*seen, strict=True)) if seen else [[]] * 5
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.int8(), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), pa.array(list(seen.values()), pa.int64())],
-            names=["host", "node", "parent", "kind", "feature", "n"],
+            [
+                *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)),
+                pa.array(list(seen.values()), pa.int64()),
+                pa.array(list(having.values()), pa.int64()),
+            ],
+            names=["host", "node", "parent", "kind", "feature", "n", "pages"],
         )
 
 
-def importance(tree: dict[int, tuple[int | None, float, float | None, int]]) -> dict[int, float]:
-    """Composite importance of each node: (parent, presentation, content or none, times) to a number from 0 to 1."""
+def importance(tree: dict[int, tuple[int | None, float, float | None]]) -> dict[int, float]:
+    """Importance of each node's branch, (parent, presentation, content or none) to a number from 0 to 1."""
     below: dict[int, list[int]] = {}
     for node, (parent, *_) in tree.items():
         below.setdefault(parent, []).append(node)
@@ -266,14 +281,9 @@ def importance(tree: dict[int, tuple[int | None, float, float | None, int]]) ->
             todo.append((node, True))
             todo += [(c, False) for c in below.get(node, ())]
             continue
-        _, presentation, content, _ = tree[node]
+        _, presentation, content = tree[node]
         own = presentation if content is None else max(presentation, content)
-        if kids := below.get(node):
-            weight = np.array([tree[c][3] for c in kids], float)
-            kids_mean = float(np.average([found[c] for c in kids], weights=weight))
-            found[node] = (1 - DAMPING) * own + DAMPING * (kids_mean if content is None else max(kids_mean, content))
-        else:
-            found[node] = own
+        found[node] = max([own, *(found[c] for c in below.get(node, ()))])
     return found
 
 
@@ -281,9 +291,8 @@ def _low(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for nodes in batch.column(1).to_pylist():
-            tree = {x["node"]: (x["parent"], x["presentation"], x["content"], x["times"]) for x in nodes}
-            pages = {x["node"]: x["pages"] for x in nodes}
-            out.append([n for n, v in importance(tree).items() if v < LOW and pages[n] >= MIN_PAGES])
+            tree = {x["node"]: (x["parent"], x["presentation"], x["content"]) for x in nodes}
+            out.append([n for n, v in importance(tree).items() if v < LOW])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(out, pa.list_(pa.int64()))], names=["host", "low"]
         )
@@ -306,24 +315,21 @@ def style_trees(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     copies = copies.select(F.concat(F.lit("http://"), "host").alias("url"), "html")
     counted = (
         alone.union(copies)
-        .mapInArrow(_features, "host string, node bigint, parent bigint, kind tinyint, feature bigint, n bigint")
+        .mapInArrow(_features, "host string, node bigint, parent bigint, kind tinyint, feature bigint, n bigint, pages bigint")
         .groupBy("host", "node", "parent", "kind", "feature")
-        .agg(F.sum("n").alias("n"))
-    )
-    times = F.sum("n")
-    entropy = F.log(times) - F.sum(F.col("n") * F.log("n")) / times
-    nodes = counted.groupBy("host", "node", "parent", "kind").agg(
-        times.alias("times"), F.when(times > 1, entropy / F.log(times)).otherwise(1.0).alias("entropy")
+        .agg(F.sum("n").alias("n"), F.sum("pages").alias("pages"))
     )
+    # The entropy of a feature over its pages, as if it were equally often on each.
+    shared = F.sum(F.col("n") * F.log("pages")) / F.sum("n")
+    nodes = counted.groupBy("host", "node", "parent", "kind").agg(F.sum("n").alias("times"), shared.alias("shared"))
+    of = lambda kind, column: F.max(F.when(F.col("kind") == kind, F.col(column)))
     nodes = nodes.groupBy("host", "node", "parent").agg(
-        F.max(F.when(F.col("kind") == 0, F.col("entropy"))).alias("presentation"),
-        F.max(F.when(F.col("kind") == 1, F.col("entropy"))).alias("content"),
-        F.max("times").alias("times"),
-        F.max(F.when(F.col("kind") == 2, F.col("times"))).alias("pages"),
-    )
-    trees = nodes.groupBy("host").agg(
-        F.collect_list(F.struct("node", "parent", "presentation", "content", "times", "pages")).alias("nodes")
+        of(0, "shared").alias("presentation"), of(1, "shared").alias("content"), of(2, "times").alias("pages")
     )
+    base = F.log(F.col("pages") + PRIOR)
+    important = lambda c: F.when(F.col(c).isNotNull(), F.greatest(1 - F.col(c) / base, F.lit(0.0))).alias(c)
+    nodes = nodes.select("host", "node", "parent", important("presentation"), important("content"))
+    trees = nodes.groupBy("host").agg(F.collect_list(F.struct("node", "parent", "presentation", "content")).alias("nodes"))
     return trees.mapInArrow(_low, "host string, low array<bigint>")
 
 
