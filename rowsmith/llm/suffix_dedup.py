@@ -308,10 +308,15 @@ class Family:
     def add(self, docs: DataFrame, last: bool) -> None:
         """Scan a batch (doc, text) against all levels, then make it a level."""
         spark = self.spark
-        fresh = docs.mapInArrow(_suffixes, _ROW).withColumn("known", F.lit(False))
+        fresh, written = docs.mapInArrow(_suffixes, _ROW), None
+        if self.levels:
+            # Read twice: once for the owners that concern the levels, once for the scan.
+            written = scratch_dir(spark, "batch")
+            fresh.write.parquet(written)
+            fresh = spark.read.schema(_ROW).parquet(written)
+            sent = spark.sparkContext.broadcast(bit_set(fresh.filter(F.col("kind") == REGION).select("h")))
+        fresh = fresh.withColumn("known", F.lit(False))
         if self.levels:
-            owners = bit_set(docs.mapInArrow(_owners, "h bigint"))
-            sent = spark.sparkContext.broadcast(owners)
 
             def touched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
@@ -325,6 +330,8 @@ class Family:
         path = scratch_dir(spark, "suffixes")
         scanned.write.partitionBy("kind").parquet(path)
         self.found.append(path)
+        if written:
+            _delete(spark, written)
         if last:
             return
         self.levels.append((1, f"{path}/kind={REGION}"))
@@ -347,14 +354,6 @@ class Family:
         return out
 
 
-def _owners(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One hash of each filter slot that a task's owners have."""
-    drop = 40 - (FILTER_BITS.bit_length() - 1)
-    for batch in slices(batches, 1, SLICE):
-        h = regions(*raw(batch.column(1)))[0]
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(h >> drop) << drop, pa.int64())], names=["h"])
-
-
 def repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """Repeated spans (columns doc, tag, spans) of documents (doc bigint, text string)."""
     spark = docs.sparkSession
