@@ -7,9 +7,9 @@ is added to each log weight, and the k largest of all documents stay (Gumbel top
 of documents above a bound on the log weight that separates labelled good and bad documents best.
 
 * The models count the documents that have an n-gram, so a text that repeats itself counts once. The
-  log ratio is smoothed towards 0 by SMOOTH documents, so that rare n-grams say nothing, and taken
-  relative to the ratio of the median n-gram; only what goes beyond NOISE of it counts. So the length
-  of a text alone says nothing.
+  log ratio has additive smoothing and is taken relative to the ratio of the median n-gram, so that the
+  length of a text alone says nothing. What is summed is how far it goes beyond ERRORS standard errors, and
+  beyond NOISE: an n-gram counts as far as its documents prove a large ratio, with forty labels or many.
 * The models are fitted on about MAX_LABELS labelled documents at most, chosen by hash, which bounds
   what is broadcast. The driver gets BUCKETS rows at most. Weights, k and the cut cover
   all documents.
@@ -25,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.text import LOWER, Words, mix, slices
+from rowsmith.llm.text import LOWER, Words, free_name, mix, slices
 from rowsmith.session import scratch_dir
 
 BUCKETS = 1 << 22
-SMOOTH = 5.0
+SMOOTH = 0.5
+ERRORS = 1.5
 NOISE = 1.0
 MAX_LABELS = 200_000
 BINS = 4_096
@@ -98,7 +99,8 @@ def log_ratios(total: np.ndarray, target: np.ndarray) -> np.ndarray:
     order = np.argsort(ratio)
     middle = ratio[order[np.searchsorted(np.cumsum(total[order]), total.sum() / 2)]]
     ratio -= middle
-    return np.where(total > 0, np.sign(ratio) * np.maximum(np.abs(ratio) - NOISE, 0.0), 0.0)
+    error = np.sqrt(1 / (target + SMOOTH) + 1 / (due + SMOOTH))
+    return np.where(total > 0, np.sign(ratio) * np.maximum(np.abs(ratio) - np.maximum(ERRORS * error, NOISE), 0.0), 0.0)
 
 
 def _scorer(sent) -> Callable[[pa.Array], np.ndarray]:
@@ -224,7 +226,8 @@ class Sampler:
                 yield kept.filter(pa.array(value >= cut))
 
         body = F.col(self.text).cast("string")
-        rows = docs.select("*", body.alias("__body"), _gumbel(self.seed, self.id, body).alias("__noise"))
+        noise = _gumbel(self.seed, self.id, body).alias(free_name(docs, "__noise"))
+        rows = docs.select("*", body.alias(free_name(docs, "__body")), noise)
         return rows.mapInArrow(keep, docs.schema)
 
 

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm.text import LOWER, Words, mix, raw, slices, split_rows, windows
+from rowsmith.llm.text import LOWER, Words, free_name, mix, raw, slices, split_rows, windows
 from rowsmith.session import scratch_dir
 
 WINDOW = 8
@@ -41,7 +41,7 @@ SHIFT = 2
 FILTER_BITS = 1 << 26
 BROADCAST_ROWS = 500_000
 
-# Units of measurement that become placeholders.
+# Units of measurement that become placeholders after a number.
 UNITS = (
     "mm cm dm m km mg g kg t ml cl l s sec second seconds min minute minutes h hour hours day days week weeks month "
     "months year years inch inches ft foot feet yard yards mile miles oz ounce ounces lb lbs pound pounds gallon "
@@ -88,7 +88,9 @@ class Template:
         if len(written) > 1:
             second = written[np.minimum(starts + 1, len(written) - 1)]
             capital |= (first == 0xC3) & (second >= 0x80) & (second <= 0x9E)
-        fixed = np.where(digit, NUMBER, np.where(np.isin(self.value, _unit_hashes()), UNIT, 0))
+        # A unit is one only right after a number: "a" and "second" are words elsewhere.
+        counted = np.r_[False, digit[:-1] & (self.row[1:] == self.row[:-1])][: len(digit)]
+        fixed = np.where(digit, NUMBER, np.where(counted & np.isin(self.value, _unit_hashes()), UNIT, 0))
         self.kinds = np.where((fixed == 0) & capital, NAME, fixed), fixed
 
     def windows(self, width: int, form: int) -> tuple[np.ndarray, np.ndarray]:
@@ -272,7 +274,8 @@ def _key(id_column: str, text: str):
 def clean(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without a benchmark item, with all their columns; cases as in ``contaminated``."""
     path = scratch_dir(docs.sparkSession, "contaminated")
-    contaminated(docs, benchmark, id_column, text).select(F.col("row_key").alias("__found")).distinct().write.parquet(path)
+    key, other = free_name(docs, "__key"), free_name(docs, "__found")
+    contaminated(docs, benchmark, id_column, text).select(F.col("row_key").alias(other)).distinct().write.parquet(path)
     found = docs.sparkSession.read.parquet(path)
-    others, concerned = split_rows(docs, _key(id_column, text), found)
-    return others.union(concerned.join(found, F.col("__key") == F.col("__found"), "left_anti").drop("__key"))
+    others, concerned = split_rows(docs, _key(id_column, text), found, key)
+    return others.union(concerned.join(found, F.col(key) == F.col(other), "left_anti").drop(key))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsmith.llm.components import components
-from rowsmith.llm.text import Words, mix, slices, split_rows, windows
+from rowsmith.llm.text import Words, free_name, mix, slices, split_rows, windows
 from rowsmith.session import scratch_dir
 
 WIDTH = 5
@@ -412,11 +412,12 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     path = scratch_dir(spark, "joined")
     join_documents(docs, id_column, text).select(id_column, "component_id").write.parquet(path)
     found = spark.read.parquet(path).filter(F.col(id_column).isNotNull())
-    gone = found.filter(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("__gone")).distinct()
-    twice = found.groupBy(id_column).count().filter("count > 1").select(id_column)
-    keys = gone.union(twice).select(F.xxhash64(F.col("__gone")))
-    others, concerned = split_rows(docs, F.xxhash64(F.col(id_column)), keys)
-    concerned = concerned.join(gone, F.col(id_column) == F.col("__gone"), "left_anti").drop("__key")
+    key, other = free_name(docs, "__key"), free_name(docs, "__gone")
+    gone = found.filter(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias(other)).distinct()
+    twice = found.groupBy(id_column).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(id_column)
+    keys = gone.union(twice).select(F.xxhash64(F.col(other)))
+    others, concerned = split_rows(docs, F.xxhash64(F.col(id_column)), keys, key)
+    concerned = concerned.join(gone, F.col(id_column) == F.col(other), "left_anti").drop(key)
     here = F.col(id_column).isNotNull()
     once = concerned.filter(here).dropDuplicates([id_column, text])
     return others.union(once).union(concerned.filter(~here))

@@ -177,14 +177,22 @@ def in_bit_set(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((found[slot >> 6] >> (slot & 63)) & 1).astype(bool)
 
 
-def split_rows(docs: DataFrame, key, hashes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key (a 64-bit hash column) is surely not among the hashes, and the others, with ``__key``.
+def free_name(docs: DataFrame, name: str) -> str:
+    """The name, with as many underscores as it takes to differ from all columns, in any letter case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def split_rows(docs: DataFrame, key, hashes: DataFrame, name: str = "__key") -> tuple[DataFrame, DataFrame]:
+    """Rows whose key (a 64-bit hash column) is surely not among the hashes, and the others, with the key as ``name``.
 
     So a join with the hashes has to move only the few rows that it may concern.
     """
     sent = docs.sparkSession.sparkContext.broadcast(bit_set(hashes))
     n = len(docs.columns)
-    keyed = docs.withColumn("__key", key)
+    keyed = docs.withColumn(name, key)
 
     def part(wanted: bool):
         def take(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +203,7 @@ def split_rows(docs: DataFrame, key, hashes: DataFrame) -> tuple[DataFrame, Data
         return take
 
     return (
-        keyed.mapInArrow(part(False), keyed.schema).drop("__key"),
+        keyed.mapInArrow(part(False), keyed.schema).drop(name),
         keyed.mapInArrow(part(True), keyed.schema),
     )
 
