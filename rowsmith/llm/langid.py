@@ -13,8 +13,7 @@ sees (languages x vocabulary) rows, whatever the input. Prediction is a second p
 
 from __future__ import annotations
 
-import functools
-import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,7 +36,6 @@ UNKNOWN_CHAR = 1e-7
 UND = "und"
 
 _BASE = 0x2545F4914F6CDD1D
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def vocabulary_pieces(model_path: str) -> list[str]:
@@ -204,9 +202,18 @@ def marked(word: str) -> str:
     return "▁" + word.lower()
 
 
-@functools.lru_cache(1)
+_LOADED: dict[str, Pieces] = {}
+
+
 def pieces_of(model_path: str) -> Pieces:
-    return Pieces(vocabulary_pieces(model_path))
+    if model_path not in _LOADED:
+        _LOADED[model_path] = Pieces(vocabulary_pieces(model_path))
+    return _LOADED[model_path]
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether a character of general category L occurs."""
+    return any(unicodedata.category(c)[0] == "L" for c in text or "")
 
 
 def _distinct(words: Words, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -332,7 +339,7 @@ def identify(
                     logs = np.concatenate([logs, value[new]])
                     order = np.argsort(known)
                     known, logs = known[order], logs[order]
-            letter = np.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()], bool)
+            letter = np.array([has_letter(t) for t in texts.to_pylist()], bool)
             if langs:
                 best = total.argmax(axis=1)
                 share = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
