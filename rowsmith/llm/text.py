@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Iterable, Iterator
 
@@ -56,7 +57,10 @@ def small_batches(df: DataFrame) -> DataFrame:
 def slices(
     batches: Iterable[pa.RecordBatch], column: str | int, size: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Cut record batches into runs of rows with at most ``size`` bytes of text, one row at least."""
+    """Cut record batches into runs of rows with at most ``size`` bytes of text, one row at least.
+
+    At the end of a task's input, memory that allocators hold for later goes back: workers are kept.
+    """
     for batch in batches:
         ends = raw(batch.column(column))[1]
         at = 0
@@ -65,6 +69,16 @@ def slices(
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to
+    if not isinstance(batches, list):
+        release_memory()
+
+
+def release_memory() -> None:
+    """Give unused memory of Arrow's pool and of the C library's heap back to the system, where it can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
