@@ -51,7 +51,7 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_d
 
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    wanted = sys.argv[2:] or list(entry.queries())
+    wanted = sys.argv[2:] or list(entry.oracle_sql())
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
