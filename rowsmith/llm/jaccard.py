@@ -9,6 +9,9 @@ for each pair of rows, and overlaps of a pair are then added over the blocks.
   order (the prefix) are needed to find all its partners. Rare shingles come first: a sketch of fixed
   size, added up over all documents, tells about how frequent each is. Any order gives all pairs; this
   one keeps passages that many documents share out of the prefixes.
+* Each set has a signature: the parities of its shingles over 512 slots. Slots in which two signatures
+  differ are never more than the shingles in which the sets do, so a pair goes at once if they are more
+  than its sizes allow. This is a bound, not an estimate: no link is lost.
 * After adding, a pair goes if its overlap in the prefixes, plus all that can follow them, is still
   below what its sizes need. The rest is checked on the whole sets.
 * Large groups of near copies are linked first, by comparing members with a few pivots of each
@@ -37,6 +40,9 @@ SKETCH_ROWS = 64
 PIVOT_STEPS = 2
 PIVOTS = 8
 COMPARED = 3
+# Slots of a signature.
+SLOTS = 512
+SIGNS = [f"s{i}" for i in range(SLOTS // 64)]
 # Bits of the filter that keeps the sets of classes without partners from being moved.
 FILTER_BITS = 1 << 26
 
@@ -89,8 +95,21 @@ def kept_out(n: np.ndarray) -> np.ndarray:
     return -((-8 * n) // 10) - 1
 
 
+def signatures(value: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """Parity of each set's distinct shingles in each slot, as rows of 64-bit numbers."""
+    slot = (mix(value + np.uint64(5)) >> np.uint64(64 - (SLOTS.bit_length() - 1))).astype(np.int64)
+    times = np.bincount(row * SLOTS + slot, minlength=rows * SLOTS).reshape(rows, SLOTS)
+    return np.packbits((times & 1).astype(np.uint8), axis=1).view(np.int64).reshape(rows, SLOTS // 64)
+
+
+def may_link(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sizes and signatures let two sets be similar. Signatures are rows, or broadcast against each other."""
+    ok = 10 * np.minimum(n, m) >= 8 * np.maximum(n, m)
+    return ok & (np.bitwise_count(a ^ b).sum(-1, dtype=np.int64) <= n + m - 2 * need(n, m))
+
+
 def _first_pass(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Id, set size and fingerprint of each document; last, the sketch of the task in rows of its own."""
+    """Id, set size, fingerprint and signature of each document; last, the sketch of the task in rows of its own."""
     counts = np.zeros(SKETCH, np.uint64)
     shift = np.uint64(64 - (SKETCH.bit_length() - 1))
     seen: set[int] = set()
@@ -108,8 +127,15 @@ def _first_pass(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = batch.schema.field(0).type
         none = pa.nulls(rows, pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(print_), none, pa.nulls(rows, pa.binary())],
-            names=["id", "n", "c", "part", "counts"],
+            [
+                batch.column(0),
+                pa.array(n, pa.int64()),
+                pa.array(print_),
+                none,
+                pa.nulls(rows, pa.binary()),
+                *(pa.array(s) for s in signatures(value, row, rows).T),
+            ],
+            names=["id", "n", "c", "part", "counts", *SIGNS],
         )
     if kind is not None:
         split = counts.reshape(SKETCH_ROWS, -1)
@@ -120,8 +146,9 @@ def _first_pass(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.nulls(SKETCH_ROWS, pa.int64()),
                 pa.array(range(SKETCH_ROWS), pa.int32()),
                 pa.array([x.tobytes() for x in split], pa.binary()),
+                *(pa.nulls(SKETCH_ROWS, pa.int64()) for _ in SIGNS),
             ],
-            names=["id", "n", "c", "part", "counts"],
+            names=["id", "n", "c", "part", "counts", *SIGNS],
         )
 
 
@@ -186,23 +213,25 @@ def _multiply(seed: int | None):
     classes are pivots.
     """
 
-    def pairs_of(c, n, label):
-        """All pairs of one column that may count: positions."""
+    def pairs_of(c, n, label, sign):
+        """All pairs of one column that may count: positions. In the largest component, none are needed."""
         if seed is None:
-            some = np.arange(len(c))
+            kinds, kind, times = np.unique(label, return_inverse=True, return_counts=True)
+            some = np.flatnonzero(kind != times.argmax())
         else:
             level = _level(c, seed)
             some = np.flatnonzero(level >= max(0, int(np.log2(max(1.0, len(c) / PIVOTS)))))
-        step = max(1, (1 << 22) // len(c))
+        both = np.zeros(len(c), bool)
+        both[some] = True
+        step = max(1, (1 << 18) // len(c))
         for at in range(0, len(some), step):
             x = some[at : at + step]
             ok = label[x][:, None] != label[None, :]
-            ok &= 10 * np.minimum(n[x][:, None], n[None, :]) >= 8 * np.maximum(n[x][:, None], n[None, :])
-            both = np.zeros(len(c), bool)
-            both[some] = True
             ok &= ~both[None, :] | (x[:, None] < np.arange(len(c))[None, :])
             i, j = np.nonzero(ok)
-            yield x[i], j
+            i = x[i]
+            good = may_link(n[i], n[j], sign[i], sign[j])
+            yield i[good], j[good]
 
     def multiply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -224,17 +253,16 @@ def _multiply(seed: int | None):
                 [pa.array(v) for v in (x[at], y[at], nx[at], ny[at], times)], names=["x", "y", "nx", "ny", "o"]
             )
 
-        for h, c, n, label in _runs(batches):
+        for h, c, n, label, *signs in _runs(batches):
+            sign = np.stack(signs, axis=1)
             begin = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
             length = np.diff(np.r_[begin, len(h)])
             two = begin[length == 2]
-            ok = (label[two] != label[two + 1]) & (
-                10 * np.minimum(n[two], n[two + 1]) >= 8 * np.maximum(n[two], n[two + 1])
-            )
-            two = two[ok]
+            two = two[label[two] != label[two + 1]]
+            two = two[may_link(n[two], n[two + 1], sign[two], sign[two + 1])]
             found = [(two, two + 1)] if len(two) else []
             for a, k in zip(begin[length > 2].tolist(), length[length > 2].tolist(), strict=True):
-                for i, j in pairs_of(c[a : a + k], n[a : a + k], label[a : a + k]):
+                for i, j in pairs_of(*(v[a : a + k] for v in (c, n, label, sign))):
                     if len(i):
                         found.append((i + a, j + a))
             for i, j in found:
@@ -283,7 +311,11 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text"))
     first = written(
-        rows.mapInArrow(_first_pass, f"id {kind}, n bigint, c bigint, part int, counts binary"), "sets"
+        rows.mapInArrow(
+            _first_pass,
+            f"id {kind}, n bigint, c bigint, part int, counts binary, " + ", ".join(f"{s} bigint" for s in SIGNS),
+        ),
+        "sets",
     )
     plain = first.filter("part IS NULL").select("id", "n", "c")
     sums = first.filter("part IS NOT NULL").select("part", "counts").mapInArrow(_add, "part int, counts binary")
@@ -319,6 +351,8 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     cells = cells.repartition("h").sortWithinPartitions("h").mapInArrow(_shared_columns, "h bigint, c bigint, n int")
     cells = written(cells, "cells")
 
+    signed = first.filter("n > 0").select("c", *SIGNS).dropDuplicates(["c"])
+
     high = np.uint64(64 - (FILTER_BITS.bit_length() - 1))
 
     def sets_of(wanted):
@@ -366,12 +400,13 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         return both.mapInArrow(_verify, "a bigint, b bigint")
 
     def products(labels: DataFrame | None, seed: int | None) -> DataFrame:
-        cell = cells.select("h", "c", F.col("n").cast("bigint").alias("n"))
-        if labels is None:
-            cell = cell.withColumn("label", F.col("c"))
+        known = signed
+        if labels is not None:
+            known = known.join(labels.select(F.col("v").alias("c"), "label"), "c", "left")
+            known = known.withColumn("label", F.coalesce("label", "c"))
         else:
-            cell = cell.join(labels.select(F.col("v").alias("c"), "label"), "c", "left")
-            cell = cell.select("h", "c", "n", F.coalesce("label", "c").alias("label"))
+            known = known.withColumn("label", F.col("c"))
+        cell = cells.join(known, "c").select("h", "c", F.col("n").cast("bigint").alias("n"), "label", *SIGNS)
         blocks = cell.repartition("h").sortWithinPartitions("h").mapInArrow(
             _multiply(seed), "x bigint, y bigint, nx bigint, ny bigint, o bigint"
         )
