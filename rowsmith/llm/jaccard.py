@@ -14,8 +14,8 @@ for each pair of rows, and overlaps of a pair are then added over the blocks.
   than its sizes allow. This is a bound, not an estimate: no link is lost.
 * After adding, a pair goes if its overlap in the prefixes, plus all that can follow them, is still
   below what its sizes need. The rest is checked on the whole sets.
-* Large groups of near copies are linked first, by comparing members with a few pivots of each
-  column, chosen by a hash. Then all pairs of different components are multiplied, without exception,
+* Large groups of near copies are linked first, by comparing each member with the nearest of a few
+  pivots of each column, chosen by a hash. Then all pairs of different components are multiplied, without exception,
   so no link between components is lost. Links within a component say nothing new and are not made.
 """
 
@@ -102,10 +102,15 @@ def signatures(value: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return np.packbits((times & 1).astype(np.uint8), axis=1).view(np.int64).reshape(rows, SLOTS // 64)
 
 
-def may_link(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether sizes and signatures let two sets be similar. Signatures are rows, or broadcast against each other."""
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many slots signatures differ. Counted without sign: numpy counts the bits of absolute values."""
+    return np.bitwise_count((a ^ b).view(np.uint64)).sum(-1, dtype=np.int64)
+
+
+def may_link(n: np.ndarray, m: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """Whether sizes and differing slots let two sets be similar."""
     ok = 10 * np.minimum(n, m) >= 8 * np.maximum(n, m)
-    return ok & (np.bitwise_count(a ^ b).sum(-1, dtype=np.int64) <= n + m - 2 * need(n, m))
+    return ok & (differ <= n + m - 2 * need(n, m))
 
 
 def _first_pass(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,8 +214,8 @@ def _level(c: np.ndarray, seed: int) -> np.ndarray:
 def _multiply(seed: int | None):
     """Overlaps of pairs of classes in different components, added up over a task's columns.
 
-    With a seed, only pairs with a pivot, which comes second; the longer a column, the fewer of its
-    classes are pivots.
+    With a seed, only pairs of a class and its nearest pivot by signature, which comes second; the
+    longer a column, the fewer of its classes are pivots.
     """
 
     def pairs_of(c, n, label, sign):
@@ -230,8 +235,16 @@ def _multiply(seed: int | None):
             ok &= ~both[None, :] | (x[:, None] < np.arange(len(c))[None, :])
             i, j = np.nonzero(ok)
             i = x[i]
-            good = may_link(n[i], n[j], sign[i], sign[j])
-            yield i[good], j[good]
+            differ = differing(sign[i], sign[j])
+            good = may_link(n[i], n[j], differ)
+            i, j, differ = i[good], j[good], differ[good]
+            if seed is not None:
+                order = np.lexsort((c[i], differ, j))
+                i, j = i[order], j[order]
+                nearest = np.ones(len(j), bool)
+                nearest[1:] = j[1:] != j[:-1]
+                i, j = i[nearest], j[nearest]
+            yield i, j
 
     def multiply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -259,7 +272,7 @@ def _multiply(seed: int | None):
             length = np.diff(np.r_[begin, len(h)])
             two = begin[length == 2]
             two = two[label[two] != label[two + 1]]
-            two = two[may_link(n[two], n[two + 1], sign[two], sign[two + 1])]
+            two = two[may_link(n[two], n[two + 1], differing(sign[two], sign[two + 1]))]
             found = [(two, two + 1)] if len(two) else []
             for a, k in zip(begin[length > 2].tolist(), length[length > 2].tolist(), strict=True):
                 for i, j in pairs_of(*(v[a : a + k] for v in (c, n, label, sign))):
