@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from helpers import OTHER, PROSE, jaccard_components, removed, rows
 
 from rowsmith.llm import decontam, jaccard, suffix_dedup
@@ -23,6 +24,23 @@ def test_jaccard_equals_brute_force(spark, messy):
     assert order(map(tuple, got)) == order(jaccard_components([(d, t) for d, t, *_ in rows()]))
 
 
+def test_signatures_never_differ_in_more_slots_than_sets_in_shingles():
+    draw = np.random.default_rng(7)
+    pool = draw.integers(0, 1 << 63, 4000, dtype=np.uint64) * np.uint64(2)
+    sets = [draw.choice(pool, n, replace=False) for n in (1, 2, 50, 50, 400, 2000)]
+    for keep in (1, 20, 45, 49):
+        sets.append(np.concatenate([sets[2][:keep], draw.choice(pool, 50 - keep, replace=False)]))
+    sets = [np.unique(s) for s in sets]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    signs = jaccard.signatures(np.concatenate(sets), row, len(sets))
+    assert (signs < 0).any() and (signs >= 0).any()
+    for a in range(len(sets)):
+        for b in range(len(sets)):
+            slots = sum(bin((int(x) ^ int(y)) & (2**64 - 1)).count("1") for x, y in zip(signs[a], signs[b], strict=True))
+            got = jaccard.differing(signs[a : a + 1], signs[b : b + 1])[0]
+            assert got == slots <= len(np.setxor1d(sets[a], sets[b]))
+
+
 def test_jaccard_of_large_groups_and_frequent_passages(spark, monkeypatch):
     random.seed(3)
     word = [f"w{i}" for i in range(500)]
