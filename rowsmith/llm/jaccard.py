@@ -1,8 +1,10 @@
 """N-gram Jaccard join of documents, as a blocked sparse product with size bounds.
 
 The rows of the sparse matrix are classes of documents with equal shingle sets, its columns are
-shingles. Columns are dealt to tasks by hash (the blocks); a block adds the overlaps of its columns
-for each pair of rows, and overlaps of a pair are then added over the blocks.
+shingles. Columns are dealt to tasks in blocks; a block adds the overlaps of its columns
+for each pair of rows, and overlaps of a pair are then added over the blocks. A block is the columns with
+the same smallest row (those of long columns in parts, by hash): columns with similar rows mostly meet in one
+block, so a pair is sent a few times and not once for each of its columns, whatever the number of tasks.
 
 * Size bounds decide which cells take part. For 80 % similarity two sets need an overlap of
   ceil(80 (n + m) / 180), so of a set of n only its first n - ceil(0.8 n) + 1 shingles in one global
@@ -40,6 +42,11 @@ SKETCH_ROWS = 64
 PIVOT_STEPS = 2
 PIVOTS = 8
 COMPARED = 3
+# A column of more rows has its block split in as many parts as it has this many rows.
+BLOCK_ROWS = 1 << 13
+# Pairs that a task holds at most, and how many different ones of these it sends on.
+HELD_PAIRS = 500_000
+SENT_PAIRS = 250_000
 # Slots of a signature.
 SLOTS = 512
 SIGNS = [f"s{i}" for i in range(SLOTS // 64)]
@@ -174,14 +181,15 @@ def _ranks(sketch: np.ndarray) -> np.ndarray:
 
 
 def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Columns of batches sorted by the first column, cut only where its value changes."""
+    """Columns of batches in which equal values of the first column are together, cut only where it changes."""
     held: list[np.ndarray] | None = None
     for batch in batches:
         new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         columns = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
         if not len(columns[0]):
             continue
-        cut = int(np.searchsorted(columns[0], columns[0][-1]))
+        earlier = np.flatnonzero(columns[0] != columns[0][-1])
+        cut = int(earlier[-1]) + 1 if len(earlier) else 0
         held = [c[cut:] for c in columns]
         if cut:
             yield tuple(c[:cut] for c in columns)
@@ -190,7 +198,7 @@ def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]
 
 
 def _shared_columns(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells of the columns that several classes have."""
+    """Cells of the columns that several classes have, with the block of the column."""
     for h, c, n in _runs(batches):
         order = np.lexsort((c, h))
         h, c, n = h[order], c[order], n[order]
@@ -201,7 +209,14 @@ def _shared_columns(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         more[1:] |= same
         more[:-1] |= same
         if more.any():
-            yield pa.RecordBatch.from_arrays([pa.array(h[more]), pa.array(c[more]), pa.array(n[more])], names=["h", "c", "n"])
+            h, c, n = h[more], c[more], n[more]
+            begin = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            length = np.diff(np.r_[begin, len(h)])
+            part = mix(h[begin].view(np.uint64)) % (1 + length // BLOCK_ROWS).astype(np.uint64)
+            block = mix(mix(c[begin].view(np.uint64)) + part).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(block, length)), pa.array(h), pa.array(c), pa.array(n)], names=["b", "h", "c", "n"]
+            )
 
 
 def _level(c: np.ndarray, seed: int) -> np.ndarray:
@@ -250,8 +265,9 @@ def _multiply(seed: int | None):
         held: list[list[np.ndarray]] = []
         size = 0
 
-        def flush():
-            x, y, nx, ny = (np.concatenate(a) for a in zip(*held, strict=True))
+        def added() -> list[np.ndarray]:
+            """The different ones of the held pairs, with their overlaps added."""
+            x, y, nx, ny, o = (np.concatenate(a) for a in zip(*held, strict=True))
             swap = x > y
             if seed is not None:
                 of_x, of_y = _level(x, seed), _level(y, seed)
@@ -259,12 +275,12 @@ def _multiply(seed: int | None):
             x, y = np.where(swap, y, x), np.where(swap, x, y)
             nx, ny = np.where(swap, ny, nx), np.where(swap, nx, ny)
             order = np.lexsort((y, x))
-            x, y, nx, ny = x[order], y[order], nx[order], ny[order]
+            x, y, nx, ny, o = x[order], y[order], nx[order], ny[order], o[order]
             at = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
-            times = np.diff(np.r_[at, len(x)])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(v) for v in (x[at], y[at], nx[at], ny[at], times)], names=["x", "y", "nx", "ny", "o"]
-            )
+            return [x[at], y[at], nx[at], ny[at], np.add.reduceat(o, at)]
+
+        def sent(pairs: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(v) for v in pairs], names=["x", "y", "nx", "ny", "o"])
 
         for h, c, n, label, *signs in _runs(batches):
             sign = np.stack(signs, axis=1)
@@ -279,14 +295,16 @@ def _multiply(seed: int | None):
                     if len(i):
                         found.append((i + a, j + a))
             for i, j in found:
-                held.append([c[i], c[j], n[i], n[j]])
+                held.append([c[i], c[j], n[i], n[j], np.ones(len(i), np.int64)])
                 size += len(i)
-                if size > 500_000:
-                    yield flush()
-                    held.clear()
-                    size = 0
+                if size > HELD_PAIRS:
+                    held = [added()]
+                    size = len(held[0][0])
+                    if size > SENT_PAIRS:
+                        yield sent(held[0])
+                        held, size = [], 0
         if held:
-            yield flush()
+            yield sent(added())
 
     return multiply
 
@@ -361,7 +379,9 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
             )
 
     cells = rows.select("text").mapInArrow(prefixes, "h bigint, c bigint, n int")
-    cells = cells.repartition("h").sortWithinPartitions("h").mapInArrow(_shared_columns, "h bigint, c bigint, n int")
+    cells = cells.repartition("h").sortWithinPartitions("h").mapInArrow(
+        _shared_columns, "b bigint, h bigint, c bigint, n int"
+    )
     cells = written(cells, "cells")
 
     signed = first.filter("n > 0").select("c", *SIGNS).dropDuplicates(["c"])
@@ -419,8 +439,8 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text
             known = known.withColumn("label", F.coalesce("label", "c"))
         else:
             known = known.withColumn("label", F.col("c"))
-        cell = cells.join(known, "c").select("h", "c", F.col("n").cast("bigint").alias("n"), "label", *SIGNS)
-        blocks = cell.repartition("h").sortWithinPartitions("h").mapInArrow(
+        cell = cells.join(known, "c").select("b", "h", "c", F.col("n").cast("bigint").alias("n"), "label", *SIGNS)
+        blocks = cell.repartition("b").sortWithinPartitions("b", "h").drop("b").mapInArrow(
             _multiply(seed), "x bigint, y bigint, nx bigint, ny bigint, o bigint"
         )
         return blocks.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"), F.sum("o").alias("o"))
