@@ -1,8 +1,13 @@
 """Near copies, repeats and benchmark items."""
 
 import random
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pytest
 from helpers import OTHER, PROSE, jaccard_components, removed, rows
 
 from rowsmith.llm import decontam, jaccard, suffix_dedup
@@ -19,6 +24,40 @@ def test_components_of_chains_and_stars(spark):
     assert got == {i: 0 for i in range(31)} | {i: 100 for i in range(100, 140)}
 
 
+@pytest.mark.parametrize("part, held, sent", [(1 << 13, 500_000, 250_000), (2, 5, 3), (1, 40, 10)])
+def test_product_in_blocks_adds_every_overlap(monkeypatch, part, held, sent):
+    """However columns are dealt and whenever pairs are sent, overlaps add up to those of the whole product."""
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", part)
+    monkeypatch.setattr(jaccard, "HELD_PAIRS", held)
+    monkeypatch.setattr(jaccard, "SENT_PAIRS", sent)
+    draw = np.random.default_rng(part)
+    cells = sorted({(int(h), int(c)) for h, c in draw.integers(0, 12, (90, 2))})
+    every = [pa.array([x[i] for x in cells], pa.int64()) for i in (0, 1)]
+    n = pa.array([10] * len(cells), pa.int32())
+    batch = pa.RecordBatch.from_arrays([*every, n], names=["h", "c", "n"])
+    parts = pa.Table.from_batches(jaccard._shared_columns([batch.slice(at, 7) for at in range(0, len(cells), 7)]))
+    blocks_of: dict[int, set] = {}
+    for b, h in zip(parts["b"].to_pylist(), parts["h"].to_pylist(), strict=True):
+        blocks_of.setdefault(h, set()).add(b)
+    assert all(len(b) == 1 for b in blocks_of.values())
+
+    expected = Counter()
+    for h in {h for h, _ in cells}:
+        expected.update(combinations([c for g, c in cells if g == h], 2))
+    found = Counter()
+    table = parts.sort_by([("b", "ascending"), ("h", "ascending")])
+    zero = pa.array([0] * len(table), pa.int64())
+    columns = [table["h"], table["c"], table["n"].cast(pa.int64()), table["c"], *(zero for _ in jaccard.SIGNS)]
+    table = pa.table(columns, names=["h", "c", "n", "label", *jaccard.SIGNS])
+    for b in set(parts["b"].to_pylist()):
+        mine = pa.array([h for h, x in blocks_of.items() if b in x], pa.int64())
+        here = table.filter(pc.is_in(table["h"], value_set=mine))
+        for out in jaccard._multiply(None)(here.to_batches(max_chunksize=5)):
+            for x, y, _, _, o in zip(*(c.to_pylist() for c in out.columns), strict=True):
+                found[(x, y)] += o
+    assert found == expected
+
+
 def test_jaccard_equals_brute_force(spark, messy):
     got = jaccard.join_documents(messy).select("doc_id", "n_shingles", "component_id").collect()
     assert order(map(tuple, got)) == order(jaccard_components([(d, t) for d, t, *_ in rows()]))
