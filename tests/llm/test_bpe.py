@@ -86,3 +86,9 @@ def test_slices_keep_rows():
 
     batch = pa.RecordBatch.from_arrays([pa.array(["a" * 3_000_000, None, "b" * 3_000_000, "c" * 9_000_000, ""])], names=["t"])
     assert [b.num_rows for b in slices([batch], 0)] == [2, 1, 1, 1]
+
+
+def test_decoding_makes_no_coder(coder, monkeypatch):
+    monkeypatch.setattr(bpe, "_CODERS", {})
+    assert bpe.pieces_of(PATH) == coder.pieces
+    assert not bpe._CODERS

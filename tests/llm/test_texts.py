@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +79,18 @@ def test_classifier_drops_junk_and_toxic_texts(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i in range(400) if i % 5 > 1}
 
 
+def test_ngrams_of_a_batch_take_little_memory():
+    random.seed(2)
+    text = " ".join(f"w{random.randrange(9999)}" for _ in range(400))
+    batch = pa.RecordBatch.from_arrays([pa.array([text] * 1800), pa.array([True] * 1800)], names=["text", "target"])
+    tracemalloc.start()
+    found = pa.Table.from_batches(classifier._count(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100e6
+    assert set(found.group_by("bucket").aggregate([("total", "sum")])["total_sum"].to_pylist()) == {1800}
+
+
 def test_classifier_without_labels_keeps_all(spark, messy, nothing):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert all(r.kept for r in classifier.classify(messy, none).collect())
