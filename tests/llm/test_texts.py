@@ -13,6 +13,7 @@ import public_tokenizers
 from helpers import OTHER, PROSE, base_rules, base_scores, rows
 
 from rowsmith.llm import chat, classifier, html, langid, lm, quality_rules
+from rowsmith.llm.text import Words
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -257,6 +258,38 @@ def test_all_words_and_ends_are_trained_on():
     assert sorted(place[place >= 0].tolist()) == list(range(len(classes)))
 
 
+def test_windows_of_training_hold_runs_without_room_to_spare():
+    rng = np.random.default_rng(4)
+    classes, begin = rng.integers(0, lm.END_CLASS, 150), np.array([0, 24, 49, 50, 74, 99, 123, 148, 150])
+    w = lm.start_weights(np.full(lm.CLASSES, 1 / lm.CLASSES))
+    sides = []
+    for sizes in ((), (0, lm.BLOCK + 1)):
+        inputs, valid, place = lm.frames(classes, begin, *sizes)
+        sides.append(lm.gradient(w, inputs, valid, classes[np.maximum(place, 0)], place >= 0))
+    assert inputs.shape[1] == lm.BLOCK + 1
+    assert math.isclose(sides[0][0], sides[1][0], rel_tol=1e-5)
+    assert all(np.allclose(sides[0][1][k], sides[1][1][k], atol=1e-6) for k in w)
+
+
+def test_words_are_spelled_together_as_alone():
+    texts = ["It's don't 12 1a a1 -- ++x x" + "y" * 300, "n\u00a0b caf\u00e9 \u6f22\u5b57 <|endoftext|> it's It's \x1c \x1fz", "", "12 x"]
+    words, speller = Words(pa.array(texts)), lm.Speller(BPE)
+    for _ in range(2):
+        ids, size = speller.spell(words, words.hashes())
+        want = [speller.coder._coding.encode_ordinary(" " + words.word(i)) for i in range(len(words))]
+        assert size.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
+def test_each_distinct_word_is_coded_once(monkeypatch):
+    coded = []
+    monkeypatch.setattr(lm.Speller, "_made", lambda self, words, made=lm.Speller._made: coded.extend(words) or made(self, words))
+    speller = lm.Speller(BPE)
+    for _ in range(2):
+        words = Words(pa.array(["a b a", "b c b a"] * 50))
+        assert len(speller.distinct(words, words.hashes())[0]) == 3
+    assert sorted(coded) == [" a", " b", " c"]
+
+
 def test_scores_use_the_counts_of_all_words(messy, monkeypatch):
     def found():
         return sorted(((r.doc_id or 0, r.n_tokens, r.n_known, r.base_score, r.score) for r in lm.score(messy, BPE).collect()))
