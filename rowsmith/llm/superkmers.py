@@ -11,6 +11,8 @@ their minimiser, where all windows of that minimiser meet, are sorted and compar
   passage that a third of all documents have is one row for each run of texts.
 * A minimiser with very many different surroundings (the edges of a frequent passage) would still put
   them all into one bucket. The windows of such minimisers, at most HOT_KEYS of them, travel singly, by window.
+* The rows that a run of texts has for a bucket are compressed together: alone, a string of a hundred bytes hardly
+  gets shorter. They are unpacked where they arrive, and sorted there.
 * A bucket is read in its sort order, at most ROWS_AT_ONCE rows together. Where one minimiser has more, the first
   windows of each piece are sent on by window and settled in their order, one pass, in bounded memory.
 
@@ -45,6 +47,12 @@ GATHER = 1 << 18
 SPANS, STRING, WINDOW = 0, 1, 2
 _ROW = "kind int, h bigint, doc bigint, tag bigint, places binary, body binary"
 _FAR = 1 << 40
+_SCHEMA = pa.schema(
+    [("kind", pa.int32()), *((c, pa.int64()) for c in ("h", "doc", "tag")), ("places", pa.binary()), ("body", pa.binary())]
+)
+# Buckets are as many as shuffle partitions, but this many at least, so that chance deals them evenly.
+LEAST_BUCKETS = 256
+UNPACKED_BYTES = 4 << 20
 
 
 class Text:
@@ -277,7 +285,9 @@ def repeats(docs: DataFrame) -> DataFrame:
         if held:
             yield from settle()
 
-    strung = docs.mapInArrow(strings, _ROW).repartition("h").sortWithinPartitions("h")
+    buckets = max(LEAST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sent_rows = docs.mapInArrow(lambda batches: packed_rows(strings(batches), buckets), "bucket int, packed binary")
+    strung = sent_rows.repartition("bucket").mapInArrow(unpacked_rows, _ROW).sortWithinPartitions("h")
     path = scratch_dir(spark, "windows")
     strung.mapInArrow(_count, _ROW).write.partitionBy("kind").parquet(path)
     found = spark.read.schema(f"{_ROW.partition(', ')[2]}, kind int").parquet(path)
@@ -295,6 +305,45 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
+def packed_rows(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The rows of each batch by bucket (a remainder of ``h``), each bucket's compressed as one."""
+    import zstandard
+
+    press = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bucket = (batch.column(1).to_numpy() & 0xFFFFFFFF) % buckets
+        order = np.argsort(bucket, kind="stable")
+        bucket, batch = bucket[order], batch.take(pa.array(order))
+        at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        parts = [batch.slice(a, b - a) for a, b in zip(at.tolist(), [*at[1:].tolist(), len(bucket)], strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(bucket[at].astype(np.int32)),
+                pa.array([press.compress(x.cast(_SCHEMA).serialize()) for x in parts], pa.binary()),
+            ],
+            names=["bucket", "packed"],
+        )
+
+
+def unpacked_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows again, some UNPACKED_BYTES together."""
+    import zstandard
+
+    press = zstandard.ZstdDecompressor()
+    held, size = [], 0
+    for batch in batches:
+        for item in batch.column(1):
+            held.append(pa.ipc.read_record_batch(pa.py_buffer(press.decompress(item.as_py())), _SCHEMA))
+            size += held[-1].nbytes
+            if size >= UNPACKED_BYTES:
+                yield _joined(held)
+                held, size = [], 0
+    if held:
+        yield _joined(held)
+
+
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compare the windows of a bucket's super-k-mers, sorted by minimiser."""
     held: pa.RecordBatch | None = None

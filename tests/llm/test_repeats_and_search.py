@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import LOWER, PROSE, WORD, rows, words
 
@@ -182,6 +183,25 @@ def test_split_minimisers_and_full_buckets_change_nothing(spark, monkeypatch, li
     assert removed_words(spark, docs) == order(naive_windows(docs))
 
 
+def test_rows_of_a_bucket_travel_together_and_come_back_whole():
+    random.seed(8)
+    n = 4_000
+    body = [" ".join(random.choices(words(PROSE), k=18)).encode() if i % 9 else None for i in range(n)]
+    columns = [
+        np.full(n, superkmers.STRING, np.int32), *(np.array([random.getrandbits(62) - 2**61 for _ in range(n)]) for _ in range(3))
+    ]
+    batch = pa.RecordBatch.from_arrays(
+        [*map(pa.array, columns), pa.array([bytes(8 * (i % 4)) for i in range(n)], pa.binary()), pa.array(body, pa.binary())],
+        schema=superkmers._SCHEMA,
+    )
+    sent = list(superkmers.packed_rows([batch.slice(0, 0), batch.slice(0, 3_000), batch.slice(3_000)], 7))
+    assert [x.column(0).to_pylist() for x in sent] == [list(range(7))] * 2
+    assert sum(x.nbytes for x in sent) < 0.75 * batch.nbytes
+    back = pa.Table.from_batches(superkmers.unpacked_rows(sent)).to_pylist()
+    assert sorted(back, key=str) == sorted(batch.to_pylist(), key=str)
+    assert list(superkmers.unpacked_rows([])) == []
+
+
 def test_equal_hashes_of_other_strings_are_told_apart():
     data = np.frombuffer(b"abcabdabcab", np.uint8)
     start, size = np.array([0, 3, 6, 9]), np.array([3, 3, 3, 2])
