@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -13,7 +14,8 @@ import pytest
 from helpers import LOWER, PROSE, WORD, rows, words
 
 import __spark_entry__ as entry
-from rowsmith.llm import retrieval, runs, superkmers
+from rowsmith.llm import retrieval, runs, suffix_dedup, superkmers
+from rowsmith.llm.text import raw
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -202,6 +204,24 @@ def test_rows_of_a_bucket_travel_together_and_come_back_whole():
     assert list(superkmers.unpacked_rows([])) == []
 
 
+def test_regions_need_little_memory_and_are_found_in_any_pieces(monkeypatch):
+    random.seed(9)
+    texts = ["", "x" * 99, "y" * 100, *(" ".join(random.choices(words(PROSE), k=k)) for k in (0, 17, 300, 0, 90)), ""]
+    data, offsets = raw(pa.array(texts))
+    want = [x.tolist() for x in suffix_dedup.regions(data, offsets)]
+    covered = np.bincount(want[2], want[4], minlength=len(texts))
+    assert covered.tolist() == [max(0, len(t.encode()) - suffix_dedup.LENGTH + 1) for t in texts]
+    monkeypatch.setattr(suffix_dedup, "PIECE", 37)
+    assert [x.tolist() for x in suffix_dedup.regions(data, offsets)] == want
+    monkeypatch.undo()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array([" ".join(random.choices(words(PROSE), k=1500)) for _ in range(400)])], ["doc", "text"])
+    tracemalloc.start()
+    list(suffix_dedup._suffixes(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 48e6
+
+
 def test_equal_hashes_of_other_strings_are_told_apart():
     data = np.frombuffer(b"abcabdabcab", np.uint8)
     start, size = np.array([0, 3, 6, 9]), np.array([3, 3, 3, 2])
