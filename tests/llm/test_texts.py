@@ -399,3 +399,35 @@ def test_words_of_arrow_slices():
     words = Words(texts, lower=True)
     assert [words.word(i) for i in range(len(words))] == ["a", "bb", "é", "x"]
     assert words.row.tolist() == [1, 1, 3, 3] and words.per_row().tolist() == [0, 2, 0, 2]
+
+
+def test_language_model_reads_texts_twice_and_trains_on_classes(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a{i} b c. " * (i % 30)) for i in range(60)] + [(60, None), (None, "x y")], "doc_id bigint, text string")
+    seen = []
+    train = lm.Model.train
+    monkeypatch.setattr(lm.Model, "train", lambda self, rows: seen.append(rows.collect()) or train(self, rows))
+    found = {r.doc_id: r for r in lm.score(docs, BPE).collect()}
+    [rows] = seen
+    learnt = [r for i, r in found.items() if i is not None and not r.held_out]
+    assert sorted(len(r.classes) for r in rows) == sorted(r.n_tokens for r in learnt)
+    assert all(r.classes[-1] == lm.END_CLASS and lm.END_CLASS not in r.classes[:-1] for r in rows)
+
+
+def test_language_model_gradient_of_wanted_places_only():
+    rng = np.random.default_rng(4)
+    w = lm.start_weights(np.full(lm.CLASSES, 1 / lm.CLASSES))
+    inputs, valid, place = lm.frames(rng.integers(0, lm.END_CLASS, 31), np.array([0, 25, 30, 31]), 0, 25)
+    z = lm.forward(w, inputs, valid, place >= 0)[0]
+    assert z.shape == (31, lm.CLASSES)
+    loss, g = lm.gradient(w, inputs, valid, np.maximum(place, 0) % lm.END_CLASS, np.zeros(place.shape, bool))
+    assert loss == 0 and set(g) == set(w) and not any(x.any() for x in g.values())
+
+
+def test_language_model_logs_do_not_depend_on_the_texts_beside():
+    rng = np.random.default_rng(1)
+    w = lm.start_weights(np.full(lm.CLASSES, 1 / lm.CLASSES))
+    begin = np.r_[0, np.cumsum(rng.integers(1, 90, 92))]
+    classes = rng.integers(0, lm.CLASSES, begin[-1])
+    parts = [(a, min(a + 13, 92)) for a in range(0, 92, 13)]
+    alone = [lm.class_logs(w, classes[begin[a] : begin[b]], begin[a : b + 1] - begin[a]) for a, b in parts]
+    assert (np.concatenate(alone) == lm.class_logs(w, classes, begin)).all()
